@@ -68,7 +68,8 @@ def land_conversations(spark: SparkSession, sf_dir: str, folder: str) -> None:
     )
     page = F.expr("cast(conv_id div 50 as int)")
     video_id = F.col("conv_id").cast("string")
-    published = F.lit(ANCHOR) - F.make_dt_interval((F.col("conv_id") % 40).cast("int"))
+    anchor = F.lit(ANCHOR.replace(tzinfo=None).isoformat()).cast("timestamp_ntz")
+    published = anchor - F.make_dt_interval((F.col("conv_id") % 40).cast("int"))
     search_item = F.struct(F.struct(video_id.alias("videoId")).alias("id"))
     detail_item = F.struct(
         video_id.alias("id"),

@@ -255,8 +255,8 @@ ORACLE: dict[str, str] = {
     "conversation_opinions": _CHAIN + f"select {FLAT}, source, 'w1' as batch from labelled",
     "conversation_report": _CHAIN + f"select source, topic, {MATRIX} from " + UNNESTED.format(source="labelled")
     + " group by source, topic",
-    "stream_windows": "select date_trunc('day', ts)::timestamptz as window_start, "
-    "(date_trunc('day', ts) + interval 1 day)::timestamptz as window_end, event_type, count(*) as count from events "
+    "stream_windows": "select date_trunc('day', ts)::timestamp as window_start, "
+    "(date_trunc('day', ts) + interval 1 day)::timestamp as window_end, event_type, count(*) as count from events "
     "where date_trunc('day', ts) + interval 1 day <= (select max(ts) from events) - interval 1 hour group by all",
     "stream_labels": LABELLED + f"select {FLAT}, lang as source from labelled",
 }

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vocalis.plans.opinions import Settings, label_texts
@@ -17,13 +18,24 @@ def label_stream(
     return label_texts(stream, column, valences, settings, **options)
 
 
-def windowed_counts(
-    stream: DataFrame, time: str, keys: list[str], width: str, lateness: str
-) -> DataFrame:
-    """Rows per tumbling window and keys; rows later than ``lateness`` are not counted any more."""
-    timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
+def windowed_counts(stream: DataFrame, time: str, keys: list[str], width: str, lateness: str) -> DataFrame:
+    """Rows per tumbling window and keys; rows later than ``lateness`` are not counted any more.
+
+    Only finished windows are given, each once. Windows are cut in UTC; a time without zone is read as
+    UTC and given back without one.
+    """
+    zoneless = isinstance(stream.schema[time].dataType, T.TimestampNTZType)
+    utc, here = F.lit("UTC"), F.current_timezone()
+    instant = F.convert_timezone(utc, here, F.col(time)) if zoneless else F.col(time)
+    timed = stream.withColumn(time, instant.cast("timestamp")).withWatermark(time, lateness)
     counts = timed.groupBy(F.window(time, width).alias("span"), *keys).agg(F.count(F.lit(1)).alias("count"))
-    return counts.select(F.col("span.start").alias("window_start"), F.col("span.end").alias("window_end"), *keys, "count")
+
+    def edge(name: str) -> Column:
+        value = F.col(f"span.{name}")
+        value = F.convert_timezone(here, utc, value.cast("timestamp_ntz")) if zoneless else value
+        return value.alias(f"window_{name}")
+
+    return counts.select(edge("start"), edge("end"), *keys, "count")
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str) -> None:
