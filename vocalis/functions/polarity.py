@@ -24,21 +24,24 @@ def scored_words(words: Column) -> Column:
 
 
 def roles(valences: DataFrame, rules: PolarityRules) -> DataFrame:
-    """One row per token that matters: its ``valence``, its ``boost`` on and its ``factor`` for later words.
+    """The tokens that matter: their ``valence``, their ``boost`` on and their ``factor`` for later words.
 
-    A token listed with two valences takes the higher one.
+    A token may have a row for its valence and another for what it does to later words; see ``one_role``.
     """
     known = valences.where("token is not null and valence is not null")
     known = known.select("token", F.col("valence").cast("double"), F.lit(None).cast("double").alias("boost"))
     known = known.withColumn("factor", F.lit(None).cast("double"))
-    context = {t: (b, None) for t, b in rules.boosters.items()}
-    for token in rules.negators:
-        context[token] = (rules.boosters.get(token), lexicons.NEGATION_WEIGHT)
-    if context:
-        rows = [(t, None, b, f) for t, (b, f) in context.items()]
-        schema = "token string, valence double, boost double, factor double"
-        known = known.unionByName(valences.sparkSession.createDataFrame(rows, schema))
-    return known.groupBy("token").agg(*[F.max(c).alias(c) for c in ("valence", "boost", "factor")])
+    context = sorted({*rules.boosters, *rules.negators})
+    boosts = [rules.boosters.get(t) for t in context]
+    factors = [lexicons.NEGATION_WEIGHT if t in rules.negators else None for t in context]
+    schema = "token string, valence double, boost double, factor double"
+    others = lexicons.small_table(valences.sparkSession, schema, context, [None] * len(context), boosts, factors)
+    return known.unionByName(others)
+
+
+def one_role(roles: DataFrame) -> DataFrame:
+    """One row per token; a token listed with two valences takes the higher one."""
+    return roles.groupBy("token").agg(*[F.max(c).alias(c) for c in ("valence", "boost", "factor")])
 
 
 def adjusted_valence(i: Column, words: Column, role: Column, rules: PolarityRules) -> Column:

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocalis import schemas
-
 # ---------------------------------------------------------------------------
 # They must equal the published lists for the results to agree.
 # ---------------------------------------------------------------------------
@@ -160,13 +159,21 @@ class PolarityRules:
 
 def valence_table(spark: SparkSession, valences: dict[str, float] | None = None) -> DataFrame:
     """Valences given as a dictionary, as a (token, valence) table."""
-    rows = [(t, float(v)) for t, v in (STARTER_VALENCES if valences is None else valences).items()]
-    return spark.createDataFrame(rows, schemas.VALENCES)
+    given = STARTER_VALENCES if valences is None else valences
+    return small_table(spark, "token string, valence double", list(given), [float(v) for v in given.values()])
+
+
+def small_table(spark: SparkSession, schema: str, *columns: list) -> DataFrame:
+    """Columns held by the driver as a table that needs no job to read; none of them may be long."""
+    kinds = {"string": pa.string(), "double": pa.float64()}
+    names, types = zip(*[field.split() for field in schema.split(", ")])
+    arrays = [pa.array(values, kinds[kind]) for values, kind in zip(columns, types)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=list(names)), schema)
 
 
 def read_valences(spark: SparkSession, path: str) -> DataFrame:
     """Valences from a tab-separated file: word, mean valence, then columns that are ignored."""
-    lines = spark.read.text(path).select(F.split("value", "\t").alias("cell"))
-    return lines.select(
-        F.lower(F.trim(F.col("cell")[0])).alias("token"), F.col("cell")[1].try_cast("double").alias("valence")
-    ).where("token <> '' and valence is not null")
+    cells = spark.read.text(path).select(F.split("value", "\t").alias("cells"))
+    word, mean = F.get("cells", F.lit(0)), F.get("cells", F.lit(1))
+    rows = cells.select(F.lower(F.trim(word)).alias("token"), mean.try_cast("double").alias("valence"))
+    return rows.where("token <> '' and valence is not null")

@@ -39,7 +39,7 @@ def score(
         return _score_in_row(df, find, words, rules, repeats)
     if key is None:
         raise ValueError("a valence table this large is joined, which needs the name of a unique key column")
-    return _score_by_join(df, roles, words, rules, repeats, key)
+    return _score_by_join(df, polarity.one_role(roles), words, rules, repeats, key)
 
 
 def label_rows(df: DataFrame, valences: DataFrame, words: str = "words", **options) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Declared schemas: landed pages, stage tables, lexicons."""
+"""Declared schemas: landed pages and stage tables."""
 
 from __future__ import annotations
 
@@ -56,5 +56,3 @@ CLEAN = _struct(text=T.StringType(), cleaned=T.StringType())
 TAGGED = T.StructType(CLEAN.fields + _struct(phone_models=STRINGS, topics=STRINGS).fields)
 LABELLED = T.StructType(TAGGED.fields + _struct(sentiment=T.StringType()).fields)
 STORE = T.StructType(LABELLED.fields + _struct(source=T.StringType(), batch=T.StringType()).fields)
-
-VALENCES = _struct(token=T.StringType(), valence=T.DoubleType())
