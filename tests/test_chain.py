@@ -198,4 +198,4 @@ def test_workspace_follows_the_setting(spark, monkeypatch):
 def test_null_text_has_no_words(spark):
     df = spark.createDataFrame([(None,)], "t string")
     assert df.select(text.words(F.col("t")).alias("w")).first()["w"] is None
-    assert stages.computed_once(df, "n", F.lit(1)).count() == 1
+    assert stages.computed_once(df, n=F.lit(1), m=F.lit(2)).count() == 1

@@ -60,7 +60,7 @@ def iso_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"case l_linenumber % 5 when 0 then 'PT' || {q} || 'M' || {n} || 'S' when 1 then 'P' || {n} || 'DT' || {q} || 'H'"
         f" when 2 then 'P' || {n} || 'W' when 3 then 'PT' || {q} || '.5S' else 'bad' || {q} end"
     )
-    lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity")
+    lines = tables.spread(table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity"))
     timed = lines.withColumn("duration", written).withColumn("seconds", values.iso_seconds(F.col("duration")))
     long = F.coalesce(F.col("seconds") > ranking.MIN_SECONDS, F.lit(False))
     return timed.select("l_orderkey", "l_linenumber", "duration", "seconds", long.alias("long_enough"))

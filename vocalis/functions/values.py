@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_AMOUNT = r"(\d+(?:[.,]\d+)?)"
+_AMOUNT = r"\d+(?:[.,]\d+)?"
 ISO_DURATION = (
-    rf"^P(?=\d|T\d)(?:{_AMOUNT}W)?(?:{_AMOUNT}D)?"
-    rf"(?:T(?:{_AMOUNT}H)?(?:{_AMOUNT}M)?(?:{_AMOUNT}S)?)?$"
+    rf"^P(?=\d|T\d)(?:{_AMOUNT}W)?(?:{_AMOUNT}D)?(?:T(?:{_AMOUNT}H)?(?:{_AMOUNT}M)?(?:{_AMOUNT}S)?)?$"
 )
-UNIT_SECONDS = (604800, 86400, 3600, 60, 1)
+UNIT_SECONDS = {"W": 604800, "D": 86400, "H": 3600, "M": 60, "S": 1}
 
 
 def or_zero(value: Column) -> Column:
@@ -29,9 +28,19 @@ def strict_count(text: Column) -> Column:
 
 
 def iso_seconds(duration: Column) -> Column:
-    """Seconds of an ISO-8601 duration made of weeks, days, hours, minutes, seconds; else null."""
-    total = F.lit(0.0)
-    for group, seconds in enumerate(UNIT_SECONDS, start=1):
-        part = F.translate(F.regexp_extract(duration, ISO_DURATION, group), ",", ".").try_cast("double")
-        total = total + F.coalesce(part, F.lit(0.0)) * seconds
+    """Seconds of an ISO-8601 duration made of weeks, days, hours, minutes, seconds; else null.
+
+    One expression checks the form, one takes the amounts out.
+    """
+    amounts = F.regexp_extract_all(duration, F.lit(rf"{_AMOUNT}[WDHMS]"), F.lit(0))
+
+    def seconds(amount: Column) -> Column:
+        number = F.translate(F.rtrim(amount, F.lit("WDHMS")), ",", ".").try_cast("double")
+        unit = F.right(amount, F.lit(1))
+        factor = F.lit(float(UNIT_SECONDS["W"]))
+        for name in "DHMS":
+            factor = F.when(unit == name, F.lit(float(UNIT_SECONDS[name]))).otherwise(factor)
+        return number * factor
+
+    total = F.aggregate(amounts, F.lit(0.0), lambda sum, amount: sum + seconds(amount))
     return F.when(duration.rlike(ISO_DURATION), total)

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vocalis.functions import values
+from vocalis.operators.stages import computed_once
 
 MIN_SECONDS = 60
 TOP_VIDEOS = 50
@@ -37,22 +38,13 @@ def eligible_videos(details: DataFrame, min_seconds: float = MIN_SECONDS) -> Dat
     Reads ``id, title, views, comments, duration`` (all text; other columns are kept) and gives
     ``id, title, view_count, comment_count, comments_enabled, duration``.
     """
-    typed = {"view_count", "comment_count", "comments_enabled", "duration"}
-    others = [c for c in details.columns if c not in {"views", "comments"} | typed]
-    videos = details.select(
-        *others,
-        values.iso_seconds(F.col("duration")).alias("duration"),
-        F.col("views"),
-        values.digits_or_zero(F.col("comments")).alias("comment_count"),
-    ).where(F.col("duration") > min_seconds)
+    others = [c for c in details.columns if c not in ("views", "comments", "duration")]
+    timed = computed_once(details, duration=values.iso_seconds(F.col("duration")))
+    videos = timed.where(F.col("duration") > min_seconds)
+    videos = videos.withColumn("comment_count", values.digits_or_zero(F.col("comments")))
     videos = videos.withColumn("comments_enabled", F.col("comment_count") > 0).where("comments_enabled")
-    return videos.select(
-        *others,
-        values.strict_count(F.col("views")).alias("view_count"),
-        "comment_count",
-        "comments_enabled",
-        "duration",
-    )
+    view_count = values.strict_count(F.col("views")).alias("view_count")
+    return videos.select(*others, view_count, "comment_count", "comments_enabled", "duration")
 
 
 def one_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -35,10 +35,10 @@ def topic_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def topic_matrix(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per topic, one column per sentiment, 0 where there is no row; null sentiments are left out.
 
-    One aggregate with a count per sentiment: the number of groups that is shuffled does not depend
-    on the number of texts.
+    The columns are known, so a count per column in one aggregate gives the pivot with one shuffle,
+    of as many rows as there are topics in each task.
     """
     mentions = df.where(F.col("topics").isNotNull() & F.col("sentiment").isNotNull())
     mentions = mentions.select(*by, F.explode("topics").alias("topic"), "sentiment")
-    pivot = mentions.groupBy(*by, "topic").pivot("sentiment", SENTIMENTS).agg(F.count(F.lit(1)))
-    return pivot.na.fill(0, SENTIMENTS).orderBy(*by, "topic")
+    columns = [F.count_if(F.col("sentiment") == name).alias(name) for name in SENTIMENTS]
+    return mentions.groupBy(*by, "topic").agg(*columns).orderBy(*by, "topic")

@@ -50,10 +50,10 @@ def label_rows(df: DataFrame, valences: DataFrame, words: str = "words", **optio
 
 def _score_in_row(df: DataFrame, find, words: str, rules: PolarityRules, repeats: str) -> DataFrame:
     kept = df.columns
-    rows = computed_once(df, "_tokens", polarity.scored_words(F.col(words)))
-    rows = computed_once(rows, "_roles", F.transform("_tokens", find))
-    units = polarity.text_units(F.col("_tokens"), F.col("_roles"), rules, repeats)
-    return rows.select(*kept, polarity.compound(units).alias("compound"))
+    rows = computed_once(df, _tokens=polarity.scored_words(F.col(words)))
+    rows = computed_once(rows, _roles=F.transform("_tokens", find))
+    rows = computed_once(rows, _units=polarity.text_units(F.col("_tokens"), F.col("_roles"), rules, repeats))
+    return rows.select(*kept, polarity.compound(F.col("_units")).alias("compound"))
 
 
 def _score_by_join(df: DataFrame, roles: DataFrame, words: str, rules: PolarityRules, repeats: str, key: str) -> DataFrame:

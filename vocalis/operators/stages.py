@@ -13,15 +13,16 @@ from vocalis import lexicons
 from vocalis.functions import tags, text
 
 
-def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """``df`` with the column ``name``, computed one time per row however often it is used later.
+def computed_once(df: DataFrame, **values: Column) -> DataFrame:
+    """``df`` with the named columns, computed one time per row however often they are used later.
 
-    The optimizer copies a projected expression into every filter it moves below the projection.
-    It does not look into a generator, so a costly column that is filtered on and then used again
-    (the words of a text) is made by exploding a one-element array: no row is added or lost.
+    The optimizer copies a projected expression into every filter and projection that reads it,
+    also into those it infers itself. It does not look into a generator, so costly columns (the
+    words of a text, its score) are made by unfolding an array of one struct: no row is added or lost.
     """
-    others = [c for c in df.columns if c != name]
-    return df.select(*others, F.explode(F.array(value)).alias(name))
+    others = [c for c in df.columns if c not in values]
+    row = F.struct(*[value.alias(name) for name, value in values.items()])
+    return df.select(*others, F.inline(F.array(row)))
 
 
 def distinct_texts(*tables: DataFrame, column: str = "headline") -> DataFrame:
@@ -48,11 +49,10 @@ def clean_rows(
     rows = df.where(F.col(column).isNotNull())
     if mention is not None:
         rows = rows.where(may_mention(F.col(column), mention))
-    rows = computed_once(rows, "words", text.words(F.col(column), stopwords)).where(F.size("words") > 0)
+    rows = computed_once(rows, words=text.words(F.col(column), stopwords)).where(F.size("words") > 0)
+    rows = computed_once(rows, cleaned=F.array_join("words", " "))
     if mention is not None:
-        rows = computed_once(rows, "cleaned", F.array_join("words", " ")).where(F.col("cleaned").contains(mention))
-    else:
-        rows = rows.withColumn("cleaned", F.array_join("words", " "))
+        rows = mentions(rows, mention)
     return rows if keep_words else rows.drop("words")
 
 
@@ -83,6 +83,5 @@ def tag_rows(
     **options,
 ) -> DataFrame:
     """``df`` plus the arrays ``phone_models`` and ``topics``; empty where nothing is found."""
-    return df.withColumns(
-        {"phone_models": tags.tag_models(F.col(column), models), "topics": tags.tag(F.col(column), topics, **options)}
-    )
+    rows = df.withColumn("phone_models", tags.tag_models(F.col(column), models))
+    return computed_once(rows, topics=tags.tag(F.col(column), topics, **options))
