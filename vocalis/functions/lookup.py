@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Above this many rows a table is joined, not carried inside the plan.
-INLINE_LIMIT = 50_000
+INLINE_LIMIT = 20_000
 
 
 def inline_lookup(table: DataFrame, key: str, limit: int = INLINE_LIMIT) -> Callable[[Column], Column] | None:

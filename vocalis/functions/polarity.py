@@ -119,18 +119,30 @@ def text_units(words: Column, role: Column, rules: PolarityRules, repeats: str =
     gives every occurrence of a word the valence its first occurrence has, as the scorer in common
     use does; ``repeats='each'`` looks at each occurrence in its own place.
     """
-
-    def place(r: Column, i: Column) -> Column:
-        if repeats == "first":
-            i = F.array_position(words, F.get(words, i)).cast("int") - 1
-        return F.when(r["valence"].isNotNull(), i)
-
-    places = F.filter(F.transform(role, place), lambda i: i.isNotNull())
-    return F.aggregate(
-        places,
-        F.lit(0).cast("long"),
-        lambda total, i: total + as_units(adjusted_valence(i, words, role, rules)),
-    )
+    zero = F.lit(0).cast("long")
+
+    def units(i: Column) -> Column:
+        return as_units(adjusted_valence(i, words, role, rules))
+
+    if repeats == "each":
+        places = F.filter(F.transform(role, lambda r, i: F.when(r["valence"].isNotNull(), i)), lambda i: i.isNotNull())
+        return F.aggregate(places, zero, lambda total, i: total + units(i))
+
+    def hit(r: Column, i: Column) -> Column:
+        return F.when(r["valence"].isNotNull(), F.struct(F.get(words, i).alias("word"), i.alias("i")))
+
+    def add(done: Column, hit: Column) -> Column:
+        value = F.when(done["word"] == hit["word"], done["units"]).otherwise(units(hit["i"]))
+        state = F.transform(
+            F.array(value),
+            lambda u: F.struct(hit["word"].alias("word"), u.alias("units"), (done["total"] + u).alias("total")),
+        )
+        return F.get(state, F.lit(0))
+
+    # Sorted by word and place, the occurrences of a word are neighbours and its first one leads.
+    hits = F.sort_array(F.filter(F.transform(role, hit), lambda h: h.isNotNull()))
+    start = F.struct(F.lit("").alias("word"), zero.alias("units"), zero.alias("total"))
+    return F.aggregate(hits, start, add, lambda done: done["total"])
 
 
 def compound(units: Column) -> Column:

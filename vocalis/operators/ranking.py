@@ -17,6 +17,9 @@ TOP_VIDEOS = 50
 TOP_COMMENTS = 200
 LOOKBACK_DAYS = 30
 
+#: A table cut to at most this many rows (ids and titles) may be sent to every task.
+BROADCAST_ROWS = 50_000
+
 #: How many tasks share the rows of one group in the first step of ``top_per_group``.
 GROUP_SPLITS = 64
 
@@ -103,14 +106,16 @@ def top_per_group(
     return survivors.withColumn("_rank", F.row_number().over(last)).where(F.col("_rank") <= n).select(*kept)
 
 
-def comments_of(videos: DataFrame, comments: DataFrame, limit: int = TOP_VIDEOS) -> DataFrame:
+def comments_of(videos: DataFrame, comments: DataFrame, at_most: int | None = TOP_VIDEOS) -> DataFrame:
     """Comments of the given videos, with the video's title; a video without comments gives no row.
 
-    ``videos`` has an ``id`` once per row and is cut to ``limit`` rows by its maker, so it is small
-    enough to broadcast; the comments are not shuffled to be filtered.
+    ``videos`` has an ``id`` once per row; ``at_most`` tells how many rows its maker cut it to. Up to
+    ``BROADCAST_ROWS`` it is sent to every task, so that comments are not shuffled to be filtered;
+    beyond that, or without a bound, it is an ordinary join, whose skewed keys the engine splits.
     """
-    titles = videos.select(F.col("id").alias("video_id"), F.col("title").alias("video_title")).limit(limit)
-    return comments.join(F.broadcast(titles), "video_id")
+    titles = videos.select(F.col("id").alias("video_id"), F.col("title").alias("video_title"))
+    small = at_most is not None and at_most <= BROADCAST_ROWS
+    return comments.join(F.broadcast(titles) if small else titles, "video_id")
 
 
 def top_comments(comments: DataFrame, n: int = TOP_COMMENTS, splits: int = GROUP_SPLITS) -> DataFrame:
