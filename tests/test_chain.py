@@ -103,6 +103,20 @@ def test_run_and_reports(spark, landing, tmp_path):
     assert {r["percent"] for r in csv.where("source = 'headlines'").collect()} == {"100.0%"}
 
 
+def test_stage_exports(spark, landing, tmp_path):
+    headlines, comments = opinions.read_batch(spark, landing, ANCHOR)
+    out = str(tmp_path / "stages")
+    opinions.export_stages(headlines, comments, lexicons.valence_table(spark), out)
+    raw = tables.read_csv(spark, f"{out}/comments/raw", schemas.RAW_COMMENTS)
+    assert raw.count() == comments.count() == 5
+    clean = tables.read_csv(spark, f"{out}/comments/clean", schemas.CLEAN)
+    assert {r.cleaned for r in clean.collect()} == {e[2] for e in EXPECTED if e[0] == "comments"}
+    for name in ("headlines", "comments"):
+        labelled = tables.read_jsonl(spark, f"{out}/{name}/labelled", schemas.LABELLED).collect()
+        assert {(r.text, r.sentiment) for r in labelled} == {(e[1], e[5]) for e in EXPECTED if e[0] == name}
+        assert tables.read_jsonl(spark, f"{out}/{name}/tagged", schemas.TAGGED).count() == len(labelled)
+
+
 def test_store_reads_one_partition(spark, landing, tmp_path):
     store = str(tmp_path / "store")
     opinions.run(spark, landing, store, "w1", ANCHOR, lexicons.valence_table(spark))

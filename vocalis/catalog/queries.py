@@ -245,8 +245,15 @@ def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_csv(spark, path, schemas.RAW_COMMENTS)
 
 
+def _written(rows: DataFrame) -> DataFrame:
+    """``rows`` once written and read back, for queries that use them several times."""
+    path = workspace(rows.sparkSession)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, rows = workspace(spark), _store_rows(spark, sf_dir)
+    path, rows = workspace(spark), _written(_store_rows(spark, sf_dir))
     for batch in ("w1", "w2", "w2"):
         sinks.write_store(rows, path, batch)
     stored = tables.read_store(spark, path)
@@ -254,7 +261,7 @@ def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replace_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, rows = workspace(spark), _store_rows(spark, sf_dir)
+    path, rows = workspace(spark), _written(_store_rows(spark, sf_dir))
     for batch in ("w1", "w2", "w2"):
         sinks.write_store(rows, path, batch, "replace")
     stored = tables.read_store(spark, path, "en")

@@ -37,18 +37,13 @@ class Settings:
 
 
 def label_texts(
-    df: DataFrame,
-    column: str,
-    valences: DataFrame,
-    settings: Settings = Settings(),
-    mention: str | None = None,
-    **options,
+    df: DataFrame, column: str, valences: DataFrame, settings: Settings = Settings(), **options
 ) -> DataFrame:
     """Clean, tag and label one text column: ``df`` plus ``cleaned, phone_models, topics, sentiment``.
 
     All row-local: with an inlined valence table the texts are read once and never shuffled.
     """
-    rows = stages.clean_rows(df, column, settings.stopwords, mention, keep_words=True)
+    rows = stages.clean_rows(df, column, settings.stopwords, keep_words=True)
     rows = stages.tag_rows(rows, "cleaned", settings.topics, settings.models)
     rules = settings.rules.reachable(settings.stopwords)
     return scoring.label_rows(rows, valences, rules=rules, repeats=settings.repeats, **options)
@@ -67,22 +62,24 @@ def best_comments(
     return ranking.flat_comments(picked)
 
 
-def headline_rows(listings: DataFrame, valences: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Labelled headlines, in the shape of the store."""
-    titles = stages.distinct_texts(landed.headlines(listings, settings.subreddits))
-    rows = label_texts(titles, "headline", valences, settings, settings.mention)
-    return _stored(rows, "headline", HEADLINES)
-
+def headline_texts(listings: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Distinct titles of the settings' subreddits; those that cannot hold the mention are left out early."""
+    titles = landed.headlines(listings, settings.subreddits)
+    return stages.distinct_texts(titles.where(stages.may_mention(F.col("headline"), settings.mention)))
 
-def comment_rows(raw_comments: DataFrame, valences: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Labelled comments, in the shape of the store."""
-    rows = label_texts(raw_comments.select("comment"), "comment", valences, settings)
-    return _stored(rows, "comment", COMMENTS)
 
+def store_rows(
+    headlines: DataFrame, comments: DataFrame, valences: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
+    """Labelled headlines and comments in the shape of the store, from one pass over both.
 
-def _stored(rows: DataFrame, column: str, source: str) -> DataFrame:
-    rows = rows.withColumnRenamed(column, "text").withColumn("source", F.lit(source))
-    return rows.select(*schemas.LABELLED.fieldNames(), "source")
+    Only headlines must hold the mention in their cleaned text.
+    """
+    texts = headlines.select(F.col("headline").alias("text"), F.lit(HEADLINES).alias("source"))
+    texts = texts.unionByName(comments.select(F.col("comment").alias("text"), F.lit(COMMENTS).alias("source")))
+    rows = label_texts(texts, "text", valences, settings)
+    wanted = (F.col("source") != HEADLINES) | F.col("cleaned").contains(settings.mention)
+    return rows.where(wanted).select(*schemas.LABELLED.fieldNames(), "source")
 
 
 def run(
@@ -98,15 +95,40 @@ def run(
     """One batch: read the pages under ``landing``, write their labelled texts to ``store``.
 
     Expects the folders ``search``, ``details``, ``comments`` and ``listings``. Both sources are
-    written by one job; an error in either fails it, and nothing of the batch becomes visible.
+    written by one job, so an error in either fails the whole batch.
     """
+    headlines, comments = read_batch(spark, landing, anchor, settings)
+    sinks.write_store(store_rows(headlines, comments, valences, settings), store, batch, mode)
+
+
+def read_batch(
+    spark: SparkSession, landing: str, anchor: datetime.datetime, settings: Settings = Settings()
+) -> tuple[DataFrame, DataFrame]:
+    """Raw headlines and raw comments out of the pages under ``landing``."""
     search = landed.video_ids(landed.read_pages(spark, f"{landing}/search", schemas.SEARCH_PAGE))
     details = landed.video_details(landed.read_pages(spark, f"{landing}/details", schemas.DETAIL_PAGE))
     comments = landed.video_comments(landed.read_pages(spark, f"{landing}/comments", schemas.COMMENT_PAGE))
     listings = landed.read_pages(spark, f"{landing}/listings", schemas.LISTING)
-    raw = best_comments(search, details, comments, anchor, settings)
-    rows = headline_rows(listings, valences, settings).unionByName(comment_rows(raw, valences, settings))
-    sinks.write_store(rows, store, batch, mode)
+    return headline_texts(listings, settings), best_comments(search, details, comments, anchor, settings)
+
+
+def export_stages(
+    headlines: DataFrame, comments: DataFrame, valences: DataFrame, folder: str, settings: Settings = Settings()
+) -> None:
+    """Every stage of one batch as text files: raw and clean tables as CSV, tagged and labelled ones as JSON Lines."""
+    cleaned = {
+        HEADLINES: stages.clean_table(headlines, "headline", settings.stopwords),
+        COMMENTS: stages.clean_table(comments, "comment", settings.stopwords),
+    }
+    for name, raw in ((HEADLINES, headlines), (COMMENTS, comments)):
+        sinks.write_csv(raw, f"{folder}/{name}/raw")
+        sinks.write_csv(cleaned[name], f"{folder}/{name}/clean")
+    rows = store_rows(headlines, comments, valences, settings)
+    for name in (HEADLINES, COMMENTS):
+        labelled = rows.where(F.col("source") == name).select(*schemas.LABELLED.fieldNames())
+        sinks.write_jsonl(labelled, f"{folder}/{name}/labelled")
+        tagged = tables.read_jsonl(rows.sparkSession, f"{folder}/{name}/labelled", schemas.LABELLED)
+        sinks.write_jsonl(tagged.select(*schemas.TAGGED.fieldNames()), f"{folder}/{name}/tagged")
 
 
 def reports(spark: SparkSession, store: str, source: str | None = None) -> tuple[DataFrame, DataFrame]:
