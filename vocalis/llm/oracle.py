@@ -1,3 +1,83 @@
-"""The queries that DuckDB SQL can express, on the same tables."""
+"""The queries that DuckDB SQL can express, on the same tables. The others are held against brute force in the tests."""
 
-ORACLE: dict[str, str] = {}
+from vocalis.llm import common, decontaminate, mixing, near_dups, quality
+
+_LOWER = f"translate(coalesce(text, ''), '{common.UPPER}', '{common.LOWER}')"
+_TOKEN = common.TOKEN
+_WORD = common.WORD
+
+_DECONTAMINATION = f"""
+with doc as (select row_number() over () as r, doc_id, regexp_extract_all({_LOWER}, '{_WORD}') as w from documents),
+item as (select item_id::varchar as item, regexp_extract_all({_LOWER}, '{_WORD}') as w from benchmark),
+sized as (select item, w, least(len(w), {decontaminate.LENGTH}) as l from item where len(w) > 0),
+win as (select distinct item, l, array_to_string(w[i:i + l - 1], ' ') as s
+        from (select item, w, l, unnest(range(1, len(w) - l + 2)) as i from sized)),
+grams as (select r, l, i, array_to_string(w[i:i + l - 1], ' ') as s
+       from (select r, w, l, unnest(range(1, len(w) - l + 2)) as i from doc, (select distinct l from win) where len(w) >= l)),
+hit as (select distinct r, i, grams.l, item from grams join win on grams.l = win.l and grams.s = win.s),
+covered as (select r, count(distinct p) as n_hit from (select r, unnest(range(i, i + l)) as p from hit) group by r),
+items as (select r, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as ids from hit group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from doc left join covered using (r) left join items using (r)
+"""
+
+_NEAR_DEDUP = f"""
+with recursive doc as (select doc_id, regexp_extract_all({_LOWER}, '{_TOKEN}') as w from documents),
+shingles as (select distinct doc_id, array_to_string(w[i:i + least(len(w), {near_dups.SHINGLE}) - 1], ' ') as s
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - {near_dups.SHINGLE - 1}, 1) + 1)) as i from doc where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (select a.doc_id as a, b.doc_id as b, count(*) as x from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+links as (select a, b from shared join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+          where 100 * x >= {near_dups.PERCENT} * (p.n + q.n - x)),
+reach as (select doc_id as a, doc_id as b from doc union select reach.a, links.b from reach join links on reach.b = links.a),
+lowest as (select a as doc_id, min(b) as component_id from reach group by a)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
+from lowest left join sizes using (doc_id)
+"""
+
+_QUALITY = f"""
+with doc as (select row_number() over () as r, doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '{_TOKEN}') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_TOKEN}')) as lines from documents),
+win as (select r, i, array_to_string(w[i:i + {quality.WINDOW - 1}], ' ') as s
+        from (select r, w, unnest(range(1, len(w) - {quality.WINDOW - 2})) as i from doc where len(w) >= {quality.WINDOW})),
+twice as (select r, i from win qualify count(*) over (partition by r, s) > 1),
+repeats as (select r, count(distinct p) as n from (select r, unnest(range(i, i + {quality.WINDOW})) as p from twice) group by r),
+measured as (select doc_id, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]'))::bigint as n_symbols, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+    coalesce(n, 0)::bigint as n_repeat_words, len(lines) as n_lines,
+    len(regexp_extract_all(t, '[A-Z]')) as upper, len(regexp_extract_all(t, '[a-z]')) as lower,
+    len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) as stutter
+    from doc left join repeats using (r)),
+judged as (select *, n_words < {quality.MIN_WORDS} or 100 * n_repeat_words > 30 * n_words as base_failed from measured)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    not (base_failed or 10 * n_symbols > n_words or 2 * upper > upper + lower or 5 * stutter > n_words
+         or word_chars < 2 * n_words or word_chars > 12 * n_words or 2 * n_dup_lines > n_lines) as kept
+from judged
+"""
+
+_MIX = f"""
+with doc as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_TOKEN}'))::bigint as size from documents),
+named as (select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as n from doc group by source),
+weighted as (select source, source_size, {list(mixing.WEIGHTS)}[((n - 1) % {len(mixing.WEIGHTS)} + 1)::int] as weight,
+    {mixing.MOST} * source_size as lim from named),
+levels as (select *, lim / weight as ratio,
+    ({mixing.SHARE}::double * (select sum(source_size) from named)
+     - coalesce(sum(lim) over (order by lim / weight, source nulls last rows between unbounded preceding and 1 preceding), 0)::double)
+    / sum(weight) over (order by lim / weight, source nulls last rows between current row and unbounded following)::double as level
+    from weighted),
+chosen as (select level from levels where level * weight < lim order by ratio, source nulls last limit 1),
+aims as (select source, source_size, coalesce(least(lim::double, weight * (select level from chosen)), lim::double) as target,
+    ('0x' || substr(md5('{mixing.SEED}' || coalesce('=' || source, '')), 1, 8))::bigint / 4294967296::double as u from levels),
+placed as (select doc_id, size, source_size, target, u, case when source_size > 0 then target / source_size else 0::double end as rate,
+    row_number() over (partition by doc.source order by size, doc_id nulls first) - 1 as place
+    from doc join aims on doc.source is not distinct from aims.source)
+select doc_id, size, source_size, target, ((floor(rate * (place + 1) + u) - floor(rate * place + u)) * size)::bigint as taken from placed
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_benchmark_decontamination": _DECONTAMINATION,
+    "op4_minhash_near_dedup": _NEAR_DEDUP,
+    "op7_quality_rules": _QUALITY,
+    "op8_source_mix": _MIX,
+}

@@ -190,4 +190,5 @@ def keep(docs: DataFrame, text: str = "text", order: list[str] | None = None) ->
                 texts = part.column(at).cast(pa.binary()).to_pylist()
                 yield part.filter(pa.array([rejected_by(Text(t or b""), rules) is None for t in texts], pa.bool_()))
 
-    return common.map_arrow(docs, run, docs.schema)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names with dots do not reach Python
+    return common.map_arrow(plain, run, plain.schema).toDF(*docs.columns)
