@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from vocalis.catalog.oracle import ORACLE
+from vocalis.catalog.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -24,15 +26,16 @@ def ordered(rows, columns):
     return sorted(map(repr, rounded))
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, duck, name):
-    df = driver.queries()[name](spark, sf_dir)
-    result = duck.execute(driver.oracle_sql()[name])
+    df = QUERIES[name](spark, sf_dir)
+    result = duck.execute(ORACLE[name])
     columns = [c[0] for c in result.description]
     assert sorted(columns) == sorted(df.columns)
     assert ordered(df.collect(), df.columns) == ordered(result.fetchall(), columns)
 
 
 def test_every_query_has_sql_and_entry_runs(spark):
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())
     assert driver.entry(spark).count() > 0

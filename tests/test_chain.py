@@ -41,12 +41,12 @@ def landing(tmp_path):
             {"page_no": 2},
         ],
         "details": [
-            {"page_no": 0, "items": [detail("v1"), detail("v2", views=None), detail("short", duration="PT60S")]},
+            {"page_no": 0, "items": [detail("v1"), detail("v2", views=None, title="iPhone16 Pro review"), detail("short", duration="PT60S")]},
             {"page_no": 1, "items": [detail("v1", views="120"), detail("old", day="2024-08-01"), detail("off", comments=None)]},
             {"page_no": 2, "items": [detail("unasked", views="9999")]},
         ],
         "comments": [
-            {"video_id": "v1", "page_no": 0, "items": [thread("The camera is amazing!", 3), thread("ok", 9), thread("terrible battery 😀")]},
+            {"video_id": "v1", "page_no": 0, "items": [thread("The camera is amazing!", 3), thread("ok", "9"), thread("terrible battery 😀")]},
             {"video_id": "v1", "page_no": 1, "items": [thread("samsung price is better", 3)]},
             {"video_id": "v2", "page_no": 0, "items": [thread("never good")]},
             {"video_id": "unasked", "page_no": 0, "items": [thread("bad")]},
@@ -127,7 +127,7 @@ def test_store_reads_one_partition(spark, landing, tmp_path):
 def test_bad_view_count_fails_the_run(spark, landing, tmp_path):
     with open(f"{landing}/details/more.json", "w") as page:
         page.write(json.dumps({"page_no": 9, "items": [detail("v2", views="lots")]}))
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="not a whole number"):
         opinions.run(spark, landing, str(tmp_path / "store"), "w1", ANCHOR, lexicons.valence_table(spark))
 
 
@@ -171,11 +171,81 @@ def test_stream_gives_the_batch_result(spark, tmp_path):
     stream = spark.readStream.schema("text string").option("maxFilesPerTrigger", 1).parquet(source)
     valences = lexicons.valence_table(spark)
     rows = live.label_stream(stream, "text", valences).withColumn("source", F.lit("live"))
-    live.into_store(rows, store, str(tmp_path / "check")).awaitTermination()
+    live.into_store(rows, store, str(tmp_path / "check"), "one").awaitTermination()
     batch = opinions.label_texts(texts, "text", valences).select("text", "cleaned", "sentiment").collect()
     assert sorted(tables.read_store(spark, store).select("text", "cleaned", "sentiment").collect()) == sorted(batch)
-    live.into_store(rows, store, str(tmp_path / "check2")).awaitTermination()  # the same numbers again
+    live.into_store(rows, store, str(tmp_path / "check2"), "one").awaitTermination()  # the same batches again
     assert tables.read_store(spark, store).count() == len(batch)
+    live.into_store(rows, store, str(tmp_path / "check3"), "two").awaitTermination()  # another stream, the same numbers
+    assert tables.read_store(spark, store).count() == 2 * len(batch)
+    sinks.compact(spark, store, "one-", "all")
+    assert {r.batch for r in tables.read_store(spark, store).select("batch").distinct().collect()} > {"all"}
+    assert tables.read_store(spark, store).count() == 2 * len(batch)
+    assert not tables.read_store(spark, store).where("batch like 'one-%'").count()
+
+
+def big_lexicon(spark, n=25_000):
+    """The starter list and many words that no text has."""
+    others = spark.range(n).select(F.concat(F.lit("zz"), F.col("id")).alias("token"), F.lit(1.0).alias("valence"))
+    starter = lexicons.valence_table(spark)
+    return starter.select("token", F.col("valence").cast("double").alias("valence")).unionByName(others)
+
+
+def test_a_large_lexicon_needs_nothing_from_the_caller(spark, landing, tmp_path):
+    store, valences = str(tmp_path / "store"), big_lexicon(spark)
+    opinions.run(spark, landing, store, "w1", ANCHOR, valences)
+    assert sorted(tuple(r) for r in stored(spark, store)) == sorted(EXPECTED)
+    source = str(tmp_path / "in")
+    texts = spark.createDataFrame([("camera amazing", "live"), (None, "live"), ("never good", "live")], "text string, source string")
+    texts.write.parquet(source)
+    stream = spark.readStream.schema(texts.schema).parquet(source)
+    with pytest.raises(ValueError, match="label_into_store"):
+        live.label_stream(stream, "text", valences)
+    live.label_into_store(stream, "text", valences, store, str(tmp_path / "check"), "live").awaitTermination()
+    assert {(r.text, r.sentiment) for r in tables.read_store(spark, store, "live").collect()} == {
+        ("camera amazing", "Positive"), ("never good", "Negative"),
+    }
+
+
+@pytest.mark.parametrize("page", ['{"page_no": 3,\n "items": []}', '{"page_no": 3, "items": [', "[1"])
+def test_unreadable_pages_fail_the_run(spark, landing, tmp_path, page):
+    with open(f"{landing}/search/more.json", "w") as file:
+        file.write(page)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        opinions.run(spark, landing, str(tmp_path / "store"), "w1", ANCHOR, lexicons.valence_table(spark))
+
+
+def test_whole_files_may_be_laid_out(spark, tmp_path):
+    (tmp_path / "page.json").write_text(json.dumps({"page_no": 1, "items": [{"id": {"videoId": "v"}}]}, indent=2))
+    pages = landed.read_pages(spark, str(tmp_path), schemas.SEARCH_PAGE, whole_files=True)
+    assert [tuple(r) for r in landed.video_ids(pages).collect()] == [("v", 1, 0)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_likes_and_page_numbers_are_strict(spark, tmp_path, ansi):
+    def read(page):
+        (tmp_path / "page.json").write_text(json.dumps(page))
+        return landed.video_comments(landed.read_pages(spark, str(tmp_path), schemas.COMMENT_PAGE)).collect()
+
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = read({"video_id": "v", "page_no": 0, "items": [thread("a", "40"), thread("b", 7), thread("c")]})
+        assert [r.likes for r in rows] == [40, 7, 0]
+        with pytest.raises(Exception, match="not a whole number"):
+            read({"video_id": "v", "page_no": 0, "items": [thread("a", "lots")]})
+        with pytest.raises(Exception, match="page_no is missing"):
+            read({"video_id": "v", "items": [thread("a", 1)]})
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_replacing_removes_other_sources_of_the_batch(spark, tmp_path):
+    store = str(tmp_path / "store")
+    rows = spark.createDataFrame([("t", "c", [], [], "Neutral", s) for s in ("a", "b")], schemas.LABELLED.add("source", "string"))
+    for batch in ("w 1", "w2"):
+        sinks.write_store(rows, store, batch, "replace")
+    sinks.write_store(rows.where("source = 'a'"), store, "w 1", "replace")
+    assert sorted((r.source, r.batch) for r in tables.read_store(spark, store).collect()) == [("a", "w 1"), ("a", "w2"), ("b", "w2")]
 
 
 def test_windows_drop_late_rows(spark, tmp_path):
@@ -187,8 +257,8 @@ def test_windows_drop_late_rows(spark, tmp_path):
     files = spark.readStream.schema("ts timestamp, k string").option("maxFilesPerTrigger", 1).parquet(str(source))
     counts = live.windowed_counts(files, "ts", ["k"], "1 hour", "30 minutes")
     live.run_available(counts, str(tmp_path / "out"), str(tmp_path / "check"))
-    got = sorted((r.window_start.hour, r["count"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
-    assert got == [(10, 1), (12, 2)]  # 10:10 came after the watermark had passed; the 18:00 window is still open
+    got = sorted((r.window_start.hour, r["count"]) for r in live.latest_counts(spark, str(tmp_path / "out")).collect())
+    assert got == [(10, 1), (12, 2), (18, 1)]  # 10:10 came after the watermark had passed
 
 
 def test_workspace_follows_the_setting(spark, monkeypatch):

@@ -30,7 +30,7 @@ def scores(spark, rows, rules, repeats, **options):
 
 
 @pytest.mark.parametrize("repeats", ["first", "each"])
-@pytest.mark.parametrize("options", [{}, {"inline_limit": 3, "key": "i"}], ids=["inline", "join"])
+@pytest.mark.parametrize("options", [{}, {"inline_limit": 3}], ids=["inline", "join"])
 def test_all_rules_agree_with_the_model(spark, repeats, options):
     rows, rules = texts(), PolarityRules()
     want = [None if r is None else model.compound(r, VALENCES, rules, repeats) for r in rows]
@@ -71,12 +71,12 @@ def test_label_bounds(spark):
     assert labels == ["Neutral", "Positive", "Neutral", "Negative", "Neutral", None]
 
 
-def test_large_table_needs_a_key(spark):
-    df = spark.createDataFrame([(["good"],)], "words array<string>")
-    with pytest.raises(ValueError):
-        scoring.score(df, lexicons.valence_table(spark, VALENCES), inline_limit=3)
+def test_repeated_texts_are_scored_each(spark):
+    rows = [["good"], ["bad"], ["good"], ["good"], None, []]
+    both = [scores(spark, rows, PolarityRules(), "first", **o) for o in ({}, {"inline_limit": 3})]
+    assert both[0] == both[1] and both[0][0] == both[0][2] == both[0][3] > 0 > both[0][1]
     with pytest.raises(ValueError):
-        scoring.score(df, lexicons.valence_table(spark, VALENCES), repeats="last")
+        scores(spark, rows, PolarityRules(), "last")
 
 
 def test_empty_table_and_empty_rules(spark):
@@ -98,9 +98,15 @@ def test_in_row_plan_has_no_shuffle_and_no_python(spark, sf_dir):
     assert "Exchange" not in plan and "Python" not in plan and "Join" not in plan
 
 
-def test_joined_plan_spreads_tokens(spark, sf_dir):
+def test_joined_plan_reads_the_rows_once(spark, sf_dir):
     docs = stages.clean_rows(spark.read.parquet(f"{sf_dir}/documents.parquet"), "text", keep_words=True)
-    df = scoring.score(docs, binding.valences(spark), key="doc_id", inline_limit=0).select("doc_id", "compound")
+    df = scoring.score(docs, binding.valences(spark), inline_limit=0).select("doc_id", "compound")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "salt" in plan and "Python" not in plan and "Cartesian" not in plan
-    assert plan.count("hashpartitioning(doc_id") <= 2  # window, both sums and the join back share one placement
+    assert "Python" not in plan and "Cartesian" not in plan and sf_dir not in plan  # the rows come from the shared folder
+
+
+def test_a_distribution_looks_for_no_topics(spark, sf_dir):
+    from vocalis.catalog.queries import QUERIES
+
+    plan = QUERIES["sentiment_distribution"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "topics" not in plan and "tion" in plan

@@ -52,6 +52,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+#: When the first document comes in the stream of documents: 2024-01-01, UTC.
+FIRST_SECOND = 1_704_067_200
+
+
+def own_valences(docs: DataFrame) -> DataFrame:
+    """A valence list of all words of the documents themselves, for lists that grow with the data."""
+    words = docs.select(F.explode("words").alias("token")).distinct()
+    context = [*RULES.boosters, *RULES.negators]
+    step = F.pmod(F.length("token") * 7 + F.ascii("token") + F.ascii(F.right("token", F.lit(1))), F.lit(9)) - 4
+    return words.where(~F.col("token").isin(*context)).select("token", (step / 2.0).alias("valence")).where("valence <> 0")
+
+
 def valences(spark: SparkSession) -> DataFrame:
     return lexicons.valence_table(spark, VALENCES)
 

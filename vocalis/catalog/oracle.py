@@ -47,24 +47,29 @@ MODEL_TOPICS = {m: [m] for m in binding.MODELS}
 DEFAULT_MODEL_TOPICS = {m: [m] for m in lexicons.PHONE_MODELS}
 
 
-def scored(source: str, key: str, rules: PolarityRules, repeats: str) -> str:
-    """CTEs that end in ``s``: the rows of ``source`` (which has ``words``) with ``compound`` and ``sentiment``."""
+def scored(source: str, key: str, rules: PolarityRules, repeats: str, lexicon: str | None = None) -> str:
+    """CTEs that end in ``s``: the rows of ``source`` (which has ``words``) with ``compound`` and ``sentiment``.
+
+    ``lexicon`` selects (token, valence) rows that take the place of the short list.
+    """
 
     def number(value: float) -> str:
         return f"{value}::double"
 
-    tokens = sorted({*binding.VALENCES, *rules.boosters, *rules.negators})
+    listed = {} if lexicon else binding.VALENCES
+    tokens = sorted({*listed, *rules.boosters, *rules.negators})
     roles = ", ".join(
         "({}, {}, {}, {})".format(
             _q(t),
-            number(binding.VALENCES[t]) if t in binding.VALENCES else "null::double",
+            number(listed[t]) if t in listed else "null::double",
             number(rules.boosters[t]) if t in rules.boosters else "null::double",
             number(lexicons.NEGATION_WEIGHT) if t in rules.negators else "null::double",
         )
         for t in tokens
     )
     sql = [
-        f"role(token, valence, boost, factor) as (values {roles})",
+        f"role(token, valence, boost, factor) as (select * from (values {roles})"
+        + (f" union all select token, valence, null::double, null::double from ({lexicon}))" if lexicon else ")"),
         f"t0 as (select {key}, list_filter(words, lambda w: length(w) > 1) as l from {source})",
         f"t1 as (select {key}, unnest(l) as token, unnest(range(len(l))) as pos from t0)",
         f"t2 as (select t1.*, valence, boost, factor from t1 left join role using (token))",
@@ -143,6 +148,11 @@ def _sentiment(rules: PolarityRules, repeats: str) -> str:
     return f"with {DOCS}, {scored('c', 'doc_id', rules, repeats)} select doc_id, compound, sentiment from s"
 
 
+_OWN = (
+    "select token, ((length(token) * 7 + ascii(token) + ascii(right(token, 1))) % 9 - 4) / 2.0::double as valence from "
+    f"(select distinct unnest(words) as token from c) where token not in ({_list([*binding.RULES.boosters, *binding.RULES.negators])}) "
+    "and (length(token) * 7 + ascii(token) + ascii(right(token, 1))) % 9 <> 4"
+)
 _LISTED = "(lang in ('en', 'de', 'fr'))"
 _TALKS = (
     "talks as (select conv_id, sum(length(text)) as view_count, count(*) as n from conversations group by conv_id), "
@@ -172,7 +182,7 @@ _SECONDS = (
 )
 _ORDERS_LATEST = (
     "select id, view_count, arrival from (select o_custkey as id, o_totalprice as view_count, o_orderkey as arrival, "
-    "row_number() over (partition by o_custkey order by o_orderkey desc, o_totalprice desc) as rn from {source}) where rn = 1"
+    "row_number() over (partition by o_custkey order by o_orderkey desc, o_totalprice desc) as rn from orders) where rn = 1"
 )
 _LINE_RANK = (
     "row_number() over (partition by l_partkey order by l_extendedprice desc, l_orderkey, l_linenumber, l_quantity) as rn"
@@ -200,9 +210,10 @@ ORACLE: dict[str, str] = {
     "matching_titles": "select p_partkey, p_name from part where contains(lower(p_name), 'widget')",
     "top_videos": "select o_orderkey as id, o_totalprice as view_count, o_orderkey as arrival from orders "
     "order by o_totalprice desc, o_orderkey limit 50",
-    "top_videos_dedupe_before": f"{_ORDERS_LATEST.format(source='orders')} order by view_count desc, id limit 50",
-    "top_videos_dedupe_after": "with best as (select * from orders order by o_totalprice desc, o_custkey, o_orderkey limit 50) "
-    + _ORDERS_LATEST.format(source="best"),
+    "top_videos_dedupe_before": f"{_ORDERS_LATEST} order by view_count desc, id limit 50",
+    "top_videos_dedupe_after": "with best as (select *, row_number() over (order by o_totalprice desc, o_custkey, o_orderkey) "
+    "as place from orders qualify place <= 50) select o_custkey as id, arg_max(o_totalprice, place) as view_count, "
+    "arg_max(o_orderkey, place) as arrival from best group by o_custkey",
     "top_comments_per_video": "select l_partkey, l_extendedprice, l_orderkey, l_linenumber, l_quantity from "
     f"(select *, {_LINE_RANK} from lineitem) where rn <= 5",
     "detail_lookup": "select * from part where p_partkey in (select l_partkey from lineitem)",
@@ -230,6 +241,8 @@ ORACLE: dict[str, str] = {
     "sentiment_each_occurrence": _sentiment(binding.RULES, "each"),
     "sentiment_phrases": _sentiment(binding.PHRASE_RULES, "each"),
     "sentiment_by_join": _sentiment(binding.RULES, "first"),
+    "sentiment_own_words": f"with {DOCS}, {scored('c', 'doc_id', binding.RULES, 'first', _OWN)} "
+    "select doc_id, compound, sentiment from s",
     "sentiment_distribution": LABELLED + "select source, sentiment, count(*) as count, "
     "round(count(*)::double / sum(count(*)) over (partition by source)::double, 6) as share from labelled group by source, sentiment",
     "sentiment_share": LABELLED + "select sentiment, count(*) as count, "
@@ -245,7 +258,7 @@ ORACLE: dict[str, str] = {
     "append_batches": LABELLED + "select lang as source, batch, sentiment, count(*) as count "
     "from labelled, (values ('w1'), ('w2'), ('w2')) b(batch) group by lang, batch, sentiment",
     "replace_batches": LABELLED + f"select {FLAT}, lang as source, batch from labelled, (values ('w1'), ('w2')) b(batch) "
-    "where lang = 'en'",
+    "where batch = 'w1' or lang <> 'fr'",
     "landed_headlines": f"select distinct text as headline from documents where {_LISTED}",
     "landed_videos": f"with {_TALKS} select cast(conv_id as varchar) as id, 'Talk ' || conv_id as title, "
     "cast(view_count as bigint) as view_count, n as comment_count, true as comments_enabled, "
@@ -255,8 +268,20 @@ ORACLE: dict[str, str] = {
     "conversation_opinions": _CHAIN + f"select {FLAT}, source, 'w1' as batch from labelled",
     "conversation_report": _CHAIN + f"select source, topic, {MATRIX} from " + UNNESTED.format(source="labelled")
     + " group by source, topic",
+    "conversation_distribution": _CHAIN + "select source, sentiment, count(*) as count, "
+    "printf('%.1f%%', count(*)::double / sum(count(*)) over (partition by source)::double * 100) as percent "
+    "from labelled group by source, sentiment",
+    "exported_tags": _CHAIN + "select source, text, cleaned, array_to_string(phone_models, '|') as phone_models, "
+    "array_to_string(topics, '|') as topics from labelled",
+    "stream_sentiment_windows": LABELLED + f"select cast({binding.FIRST_SECOND} + doc_id * 600 // 86400 * 86400 as bigint) "
+    "as window_start, source, sentiment, count(*) as count from labelled group by all",
+    "two_streams": "with texts as (select row_number() over () as id, * from (select text, lang as source from documents "
+    "union all select text, role as source from conversations)), "
+    + cleaned("texts", "text", binding.STOPWORDS) + ", " + scored("c", "id", binding.RULES, "first")
+    + f", labelled as (select *, {tag_list('cleaned', binding.TOPICS)} as topics, "
+    f"{tag_list('cleaned', MODEL_TOPICS)} as phone_models from s) select {FLAT}, source from labelled",
     "stream_windows": "select date_trunc('day', ts)::timestamp as window_start, "
     "(date_trunc('day', ts) + interval 1 day)::timestamp as window_end, event_type, count(*) as count from events "
-    "where date_trunc('day', ts) + interval 1 day <= (select max(ts) from events) - interval 1 hour group by all",
+    "group by all",
     "stream_labels": LABELLED + f"select {FLAT}, lang as source from labelled",
 }

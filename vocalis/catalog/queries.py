@@ -19,7 +19,7 @@ from vocalis.streaming import live
 
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables.spread(table(spark, sf_dir, "documents", "doc_id", "text"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return docs.select("doc_id", text.clean(F.col("text"), binding.STOPWORDS).alias("cleaned"))
 
 
@@ -60,7 +60,7 @@ def iso_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"case l_linenumber % 5 when 0 then 'PT' || {q} || 'M' || {n} || 'S' when 1 then 'P' || {n} || 'DT' || {q} || 'H'"
         f" when 2 then 'P' || {n} || 'W' when 3 then 'PT' || {q} || '.5S' else 'bad' || {q} end"
     )
-    lines = tables.spread(table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity"))
+    lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity")
     timed = lines.withColumn("duration", written).withColumn("seconds", values.iso_seconds(F.col("duration")))
     long = F.coalesce(F.col("seconds") > ranking.MIN_SECONDS, F.lit(False))
     return timed.select("l_orderkey", "l_linenumber", "duration", "seconds", long.alias("long_enough"))
@@ -140,7 +140,7 @@ def _joined(column: str) -> Column:
 
 
 def _clean_documents(spark: SparkSession, sf_dir: str, *columns: str, keep_words: bool = False) -> DataFrame:
-    docs = tables.spread(table(spark, sf_dir, "documents", "doc_id", *columns, "text"))
+    docs = table(spark, sf_dir, "documents", "doc_id", *columns, "text")
     return stages.clean_rows(docs, "text", binding.STOPWORDS, keep_words=keep_words).drop("text")
 
 
@@ -155,19 +155,19 @@ def tag_topics_by_word(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = tables.spread(table(spark, sf_dir, "pages", "page_id", "html"))
+    pages = table(spark, sf_dir, "pages", "page_id", "html")
     rows = stages.tag_rows(stages.clean_rows(pages, "html"))
     return rows.select("page_id", _joined("topics"), _joined("phone_models"))
 
 
 def page_topics_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = tables.spread(table(spark, sf_dir, "pages", "page_id", "html"))
+    pages = table(spark, sf_dir, "pages", "page_id", "html")
     rows = stages.tag_rows(stages.clean_rows(pages, "html"), normalize_keywords=True)
     return rows.select("page_id", _joined("topics"))
 
 
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables.spread(table(spark, sf_dir, "documents", "doc_id", "text"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return stages.clean_rows(docs, "text", binding.STOPWORDS, mention=binding.MENTION).select("doc_id", "cleaned")
 
 
@@ -191,21 +191,27 @@ def sentiment_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentiment_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir, key="doc_id", inline_limit=0)
+    return _scored(spark, sf_dir, inline_limit=0)
 
 
-def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables.spread(table(spark, sf_dir, "documents", "doc_id", "lang", "source", "text"))
-    return opinions.label_texts(docs, "text", binding.valences(spark), binding.SETTINGS)
+def sentiment_own_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _clean_documents(spark, sf_dir, keep_words=True)
+    scored = scoring.score(docs, binding.own_valences(docs), rules=binding.RULES)
+    return scored.select("doc_id", "compound", polarity.label(F.col("compound")).alias("sentiment"))
+
+
+def labelled_documents(spark: SparkSession, sf_dir: str, tags: bool = True) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "lang", "source", "text")
+    return opinions.label_texts(docs, "text", binding.valences(spark), binding.SETTINGS, tags=tags)
 
 
 def sentiment_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shares = report.sentiment_distribution(labelled_documents(spark, sf_dir), ["source"])
+    shares = report.sentiment_distribution(labelled_documents(spark, sf_dir, tags=False), ["source"])
     return shares.withColumn("share", F.round("share", 6))
 
 
 def sentiment_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shares = report.sentiment_distribution(labelled_documents(spark, sf_dir))
+    shares = report.sentiment_distribution(labelled_documents(spark, sf_dir, tags=False))
     return shares.select("sentiment", "count", report.percent(F.col("share")).alias("percent"))
 
 
@@ -261,11 +267,12 @@ def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replace_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second writing of ``w2`` has no French rows, so none of the first may stay."""
     path, rows = workspace(spark), _written(_store_rows(spark, sf_dir))
-    for batch in ("w1", "w2", "w2"):
-        sinks.write_store(rows, path, batch, "replace")
-    stored = tables.read_store(spark, path, "en")
-    return _flat(stored, "source", "batch")
+    sinks.write_store(rows, path, "w1", "replace")
+    sinks.write_store(rows, path, "w2", "replace")
+    sinks.write_store(rows.where("source <> 'fr'"), path, "w2", "replace")
+    return _flat(tables.read_store(spark, path), "source", "batch")
 
 
 def landed_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,11 +308,32 @@ def conversation_opinions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(tables.read_store(spark, store), "source", "batch")
 
 
-def conversation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _reported(spark: SparkSession, sf_dir: str) -> str:
     folder, store, out = _landed(spark, sf_dir), workspace(spark), workspace(spark)
     opinions.run(spark, folder, store, "w1", binding.ANCHOR, binding.valences(spark), binding.CHAIN, "replace")
     opinions.write_reports(spark, store, out)
-    return spark.read.parquet(f"{out}/matrix/parquet")
+    return out
+
+
+def conversation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_reported(spark, sf_dir)}/matrix/parquet")
+
+
+def conversation_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = "source string, sentiment string, count long, share double, percent string"
+    written = spark.read.schema(schema).csv(f"{_reported(spark, sf_dir)}/distribution/csv", header=True)
+    return written.select("source", "sentiment", "count", "percent")
+
+
+def exported_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, out = _landed(spark, sf_dir), workspace(spark)
+    headlines, comments = opinions.read_batch(spark, folder, binding.ANCHOR, binding.CHAIN)
+    opinions.export_stages(headlines, comments, binding.valences(spark), out, binding.CHAIN)
+    tagged = [
+        tables.read_jsonl(spark, f"{out}/{name}/tagged", schemas.TAGGED).withColumn("source", F.lit(name))
+        for name in (opinions.HEADLINES, opinions.COMMENTS)
+    ]
+    return tagged[0].unionByName(tagged[1]).select("source", "text", "cleaned", _joined("phone_models"), _joined("topics"))
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -318,15 +346,39 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = workspace(spark), workspace(spark)
     events = _stream(spark, sf_dir, "events")
     live.run_available(live.windowed_counts(events, "ts", ["event_type"], "1 day", "1 hour"), path, checkpoint)
-    return spark.read.parquet(path)
+    return live.latest_counts(spark, path)
+
+
+def _labelled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return live.label_stream(_stream(spark, sf_dir, "documents"), "text", binding.valences(spark), binding.SETTINGS)
+
+
+def stream_sentiment_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as if one came every ten minutes, their ids being the order."""
+    path, checkpoint = workspace(spark), workspace(spark)
+    rows = _labelled_stream(spark, sf_dir).withColumn("ts", F.timestamp_seconds(F.lit(binding.FIRST_SECOND) + F.col("doc_id") * 600))
+    live.run_available(live.windowed_counts(rows, "ts", ["source", "sentiment"], "1 day", "1 hour"), path, checkpoint)
+    counts = live.latest_counts(spark, path)
+    return counts.select(F.unix_timestamp("window_start").alias("window_start"), "source", "sentiment", "count")
 
 
 def stream_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, checkpoint = workspace(spark), workspace(spark)
-    docs = _stream(spark, sf_dir, "documents")
-    rows = live.label_stream(docs, "text", binding.valences(spark), binding.SETTINGS)
+    rows = _labelled_stream(spark, sf_dir)
     rows = rows.select("text", "cleaned", "phone_models", "topics", "sentiment", F.col("lang").alias("source"))
-    live.into_store(rows, store, checkpoint).awaitTermination()
+    live.into_store(rows, store, checkpoint, "documents").awaitTermination()
+    return _flat(tables.read_store(spark, store), "source")
+
+
+def two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams into one store, each with the same micro-batch numbers, labelled in their micro-batches."""
+    store = workspace(spark)
+    docs = _stream(spark, sf_dir, "documents").withColumn("source", F.col("lang"))
+    talks = _stream(spark, sf_dir, "conversations").select("text", F.col("role").alias("source"))
+    for rows, name in ((docs, "documents"), (talks, "talks")):
+        live.label_into_store(
+            rows, "text", binding.valences(spark), store, workspace(spark), name, binding.SETTINGS
+        ).awaitTermination()
     return _flat(tables.read_store(spark, store), "source")
 
 
@@ -337,9 +389,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         recent_items, matching_titles, top_videos, top_videos_dedupe_before, top_videos_dedupe_after,
         top_comments_per_video, detail_lookup, top_video_comments, tag_topics, tag_topics_by_word, page_topics,
         page_topics_normalized, mentions, sentiment_label, sentiment_each_occurrence, sentiment_phrases,
-        sentiment_by_join, sentiment_distribution, sentiment_share, topic_sentiment_counts, topic_sentiment_matrix,
+        sentiment_by_join, sentiment_own_words, sentiment_distribution, sentiment_share, topic_sentiment_counts, topic_sentiment_matrix,
         topic_sentiment_matrix_by_lang, jsonl_roundtrip, csv_export, append_batches, replace_batches,
         landed_headlines, landed_videos, landed_comments, conversation_opinions, conversation_report,
-        stream_windows, stream_labels,
+        conversation_distribution, exported_tags, stream_windows, stream_sentiment_windows, stream_labels, two_streams,
     )
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Above this many rows a table is joined, not carried inside the plan.
+#: Above this many rows a table is joined, not carried inside the plan. Results and arguments are the same.
 INLINE_LIMIT = 20_000
 
 

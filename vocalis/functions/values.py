@@ -23,8 +23,21 @@ def digits_or_zero(text: Column) -> Column:
 
 
 def strict_count(text: Column) -> Column:
-    """Text as a number, missing as 0; text that is no number fails the query (ANSI cast)."""
-    return or_zero(text.cast("long"))
+    """Text as a whole number, missing as 0; text that is no number fails the query, whatever the session's settings."""
+    number = F.trim(text).try_cast("long")
+    wrong = F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast("long")
+    return F.when(text.isNull(), F.lit(0).cast("long")).when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.coalesce(number, wrong)).otherwise(wrong)
+
+
+def strict_time(text: Column) -> Column:
+    """Text as a timestamp, missing as null; text that is no time fails the query."""
+    wrong = F.when(text.isNotNull(), F.raise_error(F.concat(F.lit("not a time: "), text)).cast("timestamp"))
+    return F.coalesce(text.try_cast("timestamp"), wrong)
+
+
+def required(value: Column, name: str) -> Column:
+    """The value; a missing one fails the query."""
+    return F.coalesce(value, F.raise_error(F.lit(f"{name} is missing")).cast("int"))
 
 
 def iso_seconds(duration: Column) -> Column:

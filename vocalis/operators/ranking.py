@@ -17,9 +17,6 @@ TOP_VIDEOS = 50
 TOP_COMMENTS = 200
 LOOKBACK_DAYS = 30
 
-#: A table cut to at most this many rows (ids and titles) may be sent to every task.
-BROADCAST_ROWS = 50_000
-
 #: How many tasks share the rows of one group in the first step of ``top_per_group``.
 GROUP_SPLITS = 64
 
@@ -73,9 +70,9 @@ def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 def top_videos(videos: DataFrame, n: int = TOP_VIDEOS, dedupe: str = "before", landed: Sequence[str] = ()) -> DataFrame:
     """The ``n`` videos with the most views; equal views go by id.
 
-    ``dedupe='before'`` counts a video once. ``dedupe='after'`` ranks the rows as they came and keeps
-    the last copy of a video among the ``n``, so that fewer than ``n`` videos may remain; ``landed``
-    names the columns that tell in which order copies arrived.
+    ``dedupe='before'`` counts a video once. ``dedupe='after'`` ranks the rows as they came and keeps, of
+    the copies of a video among the ``n``, the last one in that order, the one with the fewest views, so
+    that fewer than ``n`` videos may remain; ``landed`` names the columns that tell in which order copies arrived.
     """
     arrival = list(landed)
     order = [F.desc("view_count"), F.asc("id")]
@@ -83,7 +80,7 @@ def top_videos(videos: DataFrame, n: int = TOP_VIDEOS, dedupe: str = "before", l
         return top_rows(one_per_key(videos, "id", [*arrival, "view_count"]), order, n)
     if dedupe == "after":
         best = top_rows(videos, [*order, *[F.asc(c) for c in arrival]], n)
-        return one_per_key(best, "id", [*[c for c in arrival], "view_count"])
+        return one_per_key(best.withColumn("_low", -F.col("view_count")), "id", ["_low", *arrival]).drop("_low")
     raise ValueError(f"unknown dedupe {dedupe!r}")
 
 
@@ -106,16 +103,14 @@ def top_per_group(
     return survivors.withColumn("_rank", F.row_number().over(last)).where(F.col("_rank") <= n).select(*kept)
 
 
-def comments_of(videos: DataFrame, comments: DataFrame, at_most: int | None = TOP_VIDEOS) -> DataFrame:
+def comments_of(videos: DataFrame, comments: DataFrame) -> DataFrame:
     """Comments of the given videos, with the video's title; a video without comments gives no row.
 
-    ``videos`` has an ``id`` once per row; ``at_most`` tells how many rows its maker cut it to. Up to
-    ``BROADCAST_ROWS`` it is sent to every task, so that comments are not shuffled to be filtered;
-    beyond that, or without a bound, it is an ordinary join, whose skewed keys the engine splits.
+    ``videos`` has an ``id`` once per row. An ordinary join: the planner sends the videos to every task if
+    they are as small as they usually are, and else splits the skewed keys.
     """
     titles = videos.select(F.col("id").alias("video_id"), F.col("title").alias("video_title"))
-    small = at_most is not None and at_most <= BROADCAST_ROWS
-    return comments.join(F.broadcast(titles) if small else titles, "video_id")
+    return comments.join(titles, "video_id")
 
 
 def top_comments(comments: DataFrame, n: int = TOP_COMMENTS, splits: int = GROUP_SPLITS) -> DataFrame:

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vocalis.functions import polarity
 from vocalis.functions.lookup import INLINE_LIMIT, inline_lookup
 from vocalis.lexicons import PolarityRules
 from vocalis.operators.stages import computed_once
+from vocalis.session import workspace
 
-#: How many ways one token's rows are spread over tasks in the joined form.
-TOKEN_SALTS = 32
+#: Small maps that a text's own part of a large lexicon is dealt into, so that a look-up reads few entries.
+TEXT_MAPS = 64
 
 
 def score(
@@ -21,25 +21,31 @@ def score(
     words: str = "words",
     rules: PolarityRules | None = None,
     repeats: str = "first",
-    key: str | None = None,
     inline_limit: int = INLINE_LIMIT,
 ) -> DataFrame:
     """``df`` plus ``compound``, the polarity of its array column ``words``; null words give null.
 
-    A valence table of at most ``inline_limit`` tokens is carried in the plan and every text is
-    scored inside its row: no shuffle, whatever the number of texts. A larger one is joined; that
-    form needs ``key``, a column that is different in every row.
+    Any valence table will do, and every text is scored inside its row. A table of at most
+    ``inline_limit`` tokens is carried in the plan: no shuffle, whatever the number of texts. Beyond
+    that, each distinct text gets its own part of the table by a join of its distinct words. Both give
+    the same results and need nothing but the words. The second writes the rows to the shared folder
+    first, so they are read once; it needs a table at rest, and a stream labels its micro-batches
+    (``streaming.live.label_into_store``).
     """
     if repeats not in ("first", "each"):
         raise ValueError(f"unknown repeats {repeats!r}")
     rules = rules or PolarityRules()
     roles = polarity.roles(valences, rules)
+    rows = computed_once(df, _tokens=polarity.scored_words(F.col(words)))
     find = inline_lookup(roles, "token", inline_limit)
     if find is not None:
-        return _score_in_row(df, find, words, rules, repeats)
-    if key is None:
-        raise ValueError("a valence table this large is joined, which needs the name of a unique key column")
-    return _score_by_join(df, polarity.one_role(roles), words, rules, repeats, key)
+        rows = computed_once(rows, _roles=F.transform("_tokens", find))
+    elif df.isStreaming:
+        raise ValueError("a stream is scored in its micro-batches with a valence table this large: label_into_store")
+    else:
+        rows = _with_joined_roles(rows, polarity.one_role(roles))
+    rows = computed_once(rows, _units=polarity.text_units(F.col("_tokens"), F.col("_roles"), rules, repeats))
+    return rows.select(*df.columns, polarity.compound(F.col("_units")).alias("compound"))
 
 
 def label_rows(df: DataFrame, valences: DataFrame, words: str = "words", **options) -> DataFrame:
@@ -48,42 +54,25 @@ def label_rows(df: DataFrame, valences: DataFrame, words: str = "words", **optio
     return scored.withColumn("sentiment", polarity.label(F.col("compound"))).drop("compound", words)
 
 
-def _score_in_row(df: DataFrame, find, words: str, rules: PolarityRules, repeats: str) -> DataFrame:
-    kept = df.columns
-    rows = computed_once(df, _tokens=polarity.scored_words(F.col(words)))
-    rows = computed_once(rows, _roles=F.transform("_tokens", find))
-    rows = computed_once(rows, _units=polarity.text_units(F.col("_tokens"), F.col("_roles"), rules, repeats))
-    return rows.select(*kept, polarity.compound(F.col("_units")).alias("compound"))
-
+def _with_joined_roles(rows: DataFrame, roles: DataFrame) -> DataFrame:
+    """``rows`` plus ``_roles``, the role of every word of ``_tokens``, from a table of any size.
 
-def _score_by_join(df: DataFrame, roles: DataFrame, words: str, rules: PolarityRules, repeats: str, key: str) -> DataFrame:
-    """Tokens as rows: salted join to the roles, look-back by window, one sum per text.
-
-    A token may make up a third of all tokens, so its rows are spread over ``TOKEN_SALTS`` tasks and
-    the table of roles, one row per token, is repeated that many times. A window or group holds the
-    tokens of one text, which fitted into one cell of the input.
+    A text is known by a digest of its words, so repeated texts share one look-up and no key is asked
+    of the caller. Only words that have a role travel; copies of a text collapse before the shuffle. A
+    word or a text that a third of all rows hold is split by the skew join.
     """
-    tokens = df.select(key, F.posexplode(polarity.scored_words(F.col(words))).alias("pos", "token"))
-    tokens = tokens.withColumn("salt", F.pmod(F.xxhash64(key, "pos"), F.lit(TOKEN_SALTS)))
-    role = F.struct("valence", "boost", "factor").alias("role")
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(TOKEN_SALTS - 1).cast("long"))
-    spread = roles.select("token", role, F.explode(salts).alias("salt"))
-    tokens = tokens.join(spread, ["token", "salt"], "left").select(key, "pos", "token", "role")
-
-    order = W.partitionBy(key).orderBy("pos")
-    places = range(-polarity.BEHIND, polarity.AHEAD + 1)
-
-    def around(column: str) -> Column:
-        return F.array(*[F.lag(column, -n).over(order) if n else F.col(column) for n in places])
-
-    near = tokens.select("*", around("token").alias("near_words"), around("role").alias("near_roles"))
-    hits = near.where("role.valence is not null")
-    centre = F.lit(polarity.BEHIND)
-    value = polarity.adjusted_valence(centre, F.col("near_words"), F.col("near_roles"), rules)
-    hits = hits.select(key, "token", "pos", polarity.as_units(value).alias("units"))
-    if repeats == "first":
-        hits = hits.groupBy(key, "token").agg((F.count(F.lit(1)) * F.min_by("units", "pos")).alias("units"))
-    sums = hits.groupBy(key).agg(F.sum("units").alias("_units"))
-    scored = df.join(sums, key, "left")
-    units = F.when(F.col(words).isNotNull(), F.coalesce("_units", F.lit(0).cast("long")))
-    return scored.select(*df.columns, polarity.compound(units).alias("compound"))
+    spark, path = rows.sparkSession, workspace(rows.sparkSession)
+    digest = F.md5(F.to_json(F.struct("_tokens")).cast("binary"))
+    computed_once(rows, _digest=digest).write.parquet(path)
+    rows = spark.read.parquet(path)
+    words = rows.select("_digest", F.explode(F.array_distinct("_tokens")).alias("token"))
+    entry = F.struct("token", F.struct("valence", "boost", "factor").alias("role"))
+    found = words.join(roles, "token").groupBy("_digest").agg(F.collect_set(entry).alias("entries"))
+    slot = lambda token: F.pmod(F.xxhash64(token), F.lit(TEXT_MAPS)).cast("int")
+    dealt = F.transform(
+        F.sequence(F.lit(0), F.lit(TEXT_MAPS - 1)),
+        lambda n: F.map_from_entries(F.filter("entries", lambda e: slot(e["token"]) == n)),
+    )
+    found = computed_once(found, _maps=dealt).select(F.col("_digest").alias("_known"), "_maps")
+    joined = rows.join(found, rows["_digest"] == found["_known"], "left")
+    return computed_once(joined, _roles=F.transform("_tokens", lambda t: F.get("_maps", slot(t))[t])).drop("_digest", "_known", "_maps")

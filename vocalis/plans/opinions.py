@@ -6,7 +6,7 @@ import datetime
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vocalis import lexicons, schemas
@@ -25,7 +25,8 @@ class Settings:
     topics: Mapping[str, Sequence[str]] = field(default_factory=lambda: dict(lexicons.TOPICS))
     models: Sequence[str] = tuple(lexicons.PHONE_MODELS)
     mention: str = lexicons.MENTION
-    search: str | None = lexicons.SEARCH_TEXT
+    search: str | None = None  # for landed pages that no search made, as a search has matched titles already
+    whole_files: bool = False  # pages are one document per file, not one per line
     subreddits: Sequence[str] = tuple(lexicons.SUBREDDITS)
     days: int = ranking.LOOKBACK_DAYS
     min_seconds: float = ranking.MIN_SECONDS
@@ -37,14 +38,24 @@ class Settings:
 
 
 def label_texts(
-    df: DataFrame, column: str, valences: DataFrame, settings: Settings = Settings(), **options
+    df: DataFrame,
+    column: str,
+    valences: DataFrame,
+    settings: Settings = Settings(),
+    tags: bool = True,
+    keep: Column | None = None,
+    **options,
 ) -> DataFrame:
     """Clean, tag and label one text column: ``df`` plus ``cleaned, phone_models, topics, sentiment``.
 
-    All row-local: with an inlined valence table the texts are read once and never shuffled.
+    All row-local: with an inlined valence table the texts are read once and never shuffled. Rows
+    that fail ``keep``, a condition on ``cleaned``, are dropped before the costly steps. Without
+    ``tags`` no topics or models are looked for, as the optimizer cannot leave them out later.
     """
     rows = stages.clean_rows(df, column, settings.stopwords, keep_words=True)
-    rows = stages.tag_rows(rows, "cleaned", settings.topics, settings.models)
+    rows = rows if keep is None else rows.where(keep)
+    if tags:
+        rows = stages.tag_rows(rows, "cleaned", settings.topics, settings.models)
     rules = settings.rules.reachable(settings.stopwords)
     return scoring.label_rows(rows, valences, rules=rules, repeats=settings.repeats, **options)
 
@@ -58,7 +69,7 @@ def best_comments(
         found = ranking.matching(found, "title", settings.search)
     videos = ranking.eligible_videos(ranking.with_details(search, found), settings.min_seconds)
     videos = ranking.top_videos(videos, settings.n_videos, settings.dedupe, ("page_no", "pos"))
-    picked = ranking.top_comments(ranking.comments_of(videos, comments, settings.n_videos), settings.n_comments)
+    picked = ranking.top_comments(ranking.comments_of(videos, comments), settings.n_comments)
     return ranking.flat_comments(picked)
 
 
@@ -77,9 +88,8 @@ def store_rows(
     """
     texts = headlines.select(F.col("headline").alias("text"), F.lit(HEADLINES).alias("source"))
     texts = texts.unionByName(comments.select(F.col("comment").alias("text"), F.lit(COMMENTS).alias("source")))
-    rows = label_texts(texts, "text", valences, settings)
     wanted = (F.col("source") != HEADLINES) | F.col("cleaned").contains(settings.mention)
-    return rows.where(wanted).select(*schemas.LABELLED.fieldNames(), "source")
+    return label_texts(texts, "text", valences, settings, keep=wanted).select(*schemas.LABELLED.fieldNames(), "source")
 
 
 def run(
@@ -105,25 +115,32 @@ def read_batch(
     spark: SparkSession, landing: str, anchor: datetime.datetime, settings: Settings = Settings()
 ) -> tuple[DataFrame, DataFrame]:
     """Raw headlines and raw comments out of the pages under ``landing``."""
-    search = landed.video_ids(landed.read_pages(spark, f"{landing}/search", schemas.SEARCH_PAGE))
-    details = landed.video_details(landed.read_pages(spark, f"{landing}/details", schemas.DETAIL_PAGE))
-    comments = landed.video_comments(landed.read_pages(spark, f"{landing}/comments", schemas.COMMENT_PAGE))
-    listings = landed.read_pages(spark, f"{landing}/listings", schemas.LISTING)
+
+    def pages(name: str, schema) -> DataFrame:
+        return landed.read_pages(spark, f"{landing}/{name}", schema, settings.whole_files)
+
+    search = landed.video_ids(pages("search", schemas.SEARCH_PAGE))
+    details = landed.video_details(pages("details", schemas.DETAIL_PAGE))
+    comments = landed.video_comments(pages("comments", schemas.COMMENT_PAGE))
+    listings = pages("listings", schemas.LISTING)
     return headline_texts(listings, settings), best_comments(search, details, comments, anchor, settings)
 
 
 def export_stages(
     headlines: DataFrame, comments: DataFrame, valences: DataFrame, folder: str, settings: Settings = Settings()
 ) -> None:
-    """Every stage of one batch as text files: raw and clean tables as CSV, tagged and labelled ones as JSON Lines."""
-    cleaned = {
-        HEADLINES: stages.clean_table(headlines, "headline", settings.stopwords),
-        COMMENTS: stages.clean_table(comments, "comment", settings.stopwords),
-    }
-    for name, raw in ((HEADLINES, headlines), (COMMENTS, comments)):
-        sinks.write_csv(raw, f"{folder}/{name}/raw")
-        sinks.write_csv(cleaned[name], f"{folder}/{name}/clean")
-    rows = store_rows(headlines, comments, valences, settings)
+    """Every stage of one batch as text files: raw and clean tables as CSV, tagged and labelled ones as JSON Lines.
+
+    Each stage is computed once and the next one reads what was exported.
+    """
+    spark = headlines.sparkSession
+    for name, raw, column in ((HEADLINES, headlines, "headline"), (COMMENTS, comments, "comment")):
+        raw.write.mode("overwrite").parquet(f"{folder}/{name}/rows")
+        kept = spark.read.schema(raw.schema).parquet(f"{folder}/{name}/rows")
+        sinks.write_csv(kept, f"{folder}/{name}/raw")
+        sinks.write_csv(stages.clean_table(kept, column, settings.stopwords), f"{folder}/{name}/clean")
+    again = [spark.read.schema(df.schema).parquet(f"{folder}/{name}/rows") for name, df in ((HEADLINES, headlines), (COMMENTS, comments))]
+    rows = store_rows(*again, valences, settings)
     for name in (HEADLINES, COMMENTS):
         labelled = rows.where(F.col("source") == name).select(*schemas.LABELLED.fieldNames())
         sinks.write_jsonl(labelled, f"{folder}/{name}/labelled")

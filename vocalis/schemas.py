@@ -39,7 +39,7 @@ COMMENT_PAGE = _struct(
                 topLevelComment=_struct(
                     snippet=_struct(
                         textDisplay=T.StringType(),
-                        likeCount=T.LongType(),
+                        likeCount=T.StringType(),
                         authorDisplayName=T.StringType(),
                     )
                 )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vocalis import schemas
@@ -21,21 +23,46 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 def write_store(df: DataFrame, path: str, batch: str, mode: str = "append") -> None:
     """Add a batch of labelled texts to the store, partitioned by source and batch.
 
-    ``mode='append'`` adds rows, also when the batch was written before. ``mode='replace'`` puts the
-    rows in the place of what the same batch had for the same sources, so a run that was lost half
-    way can be repeated. Tasks write what they hold: nothing is shuffled by source, however uneven.
+    ``mode='append'`` adds rows, also when the batch was written before. ``mode='replace'`` removes
+    all that the batch had, of any source, and puts the rows in its place, so a run that was lost half
+    way can be repeated. Rows are dealt to tasks by source, in parts of even size, so that neither a
+    task writes a file for every source nor one task holds all of a source.
     """
     rows = df.withColumn("batch", F.lit(batch)).select(*schemas.STORE.fieldNames())
-    writer = rows.write.partitionBy("source", "batch")
-    if mode == "append":
-        writer.mode("append").parquet(path)
-    elif mode == "replace":
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    else:
+    if mode == "replace":
+        remove_batch(df.sparkSession, path, batch)
+    elif mode != "append":
         raise ValueError(f"unknown mode {mode!r}")
+    rows.hint("rebalance", "source").write.partitionBy("source", "batch").mode("append").parquet(path)
+
+
+def remove_batch(spark: SparkSession, path: str, batch: str) -> None:
+    """Remove a batch's partitions of every source from the store; other batches are not touched."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "source=*/batch=*"))
+    for status in found or ():
+        if unquote(status.getPath().getName().removeprefix("batch=")) == batch:
+            files.delete(status.getPath(), True)
+
+
+def compact(spark: SparkSession, path: str, prefix: str, batch: str) -> None:
+    """Put the batches whose names start with ``prefix`` together as ``batch``; for the many small ones of a stream.
+
+    The new batch is written before the old ones are removed. A run that was lost in between is
+    repeated after removing ``batch``. Its name may not start with ``prefix``.
+    """
+    if batch.startswith(prefix):
+        raise ValueError("the new batch must be named apart from the old ones")
+    rows = spark.read.schema(schemas.STORE).parquet(path).where(F.col("batch").startswith(prefix))
+    old = [r.batch for r in rows.select("batch").distinct().collect()]  # names of partitions
+    if old:
+        write_store(rows.drop("batch"), path, batch, "replace")
+    for name in old:
+        remove_batch(spark, path, name)
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """A report table as Parquet and, beside it, as CSV."""
+    """A report table as Parquet and, from that, as CSV; the report is computed once."""
     df.write.mode("overwrite").parquet(f"{path}/parquet")
-    write_csv(df.coalesce(1), f"{path}/csv")
+    write_csv(df.sparkSession.read.schema(df.schema).parquet(f"{path}/parquet"), f"{path}/csv")

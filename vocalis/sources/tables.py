@@ -11,7 +11,7 @@ from vocalis import lexicons, schemas
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, missing_tokens: bool = True) -> DataFrame:
     """A CSV export. With ``missing_tokens`` the texts that stand for a missing value ("nan", "null") become null."""
-    df = spark.read.schema(schema).csv(path, header=True, multiLine=True, quote='"', escape='"')
+    df = spark.read.schema(schema).csv(path, header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST")
     if not missing_tokens:
         return df
     texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
@@ -19,8 +19,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, missing_token
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One JSON object per line."""
-    return spark.read.schema(schema).json(path)
+    """One JSON object per line; a line that is none fails the query."""
+    return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 
 def read_store(spark: SparkSession, path: str, source: str | None = None) -> DataFrame:
@@ -28,12 +28,3 @@ def read_store(spark: SparkSession, path: str, source: str | None = None) -> Dat
     df = spark.read.schema(schemas.STORE).parquet(path)
     return df if source is None else df.where(F.col("source") == source)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """A scan dealt out to all cores when its files make fewer partitions than there are cores.
-
-    Large inputs have far more partitions than cores and are returned as they are, so no text is
-    shuffled there.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
