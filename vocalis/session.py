@@ -30,6 +30,10 @@ def local_session(cores: int | str = "*", memory: str = "4g", **extra: str) -> S
     return spark
 
 
+#: Folders that ``workspace`` has named in this process and that may be there.
+_made: list[str] = []
+
+
 def workspace(spark: SparkSession) -> str:
     """A new, empty folder under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -42,5 +46,13 @@ def workspace(spark: SparkSession) -> str:
         if not master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="vocalis-")
-    return f"{base.rstrip('/')}/vocalis-{uuid.uuid4().hex}"
+    _made.append(f"{base.rstrip('/')}/vocalis-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def clear_workspaces(spark: SparkSession) -> None:
+    """Remove the folders that this process got from ``workspace``, and no others. Tables read from them are gone then."""
+    while _made:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
