@@ -89,7 +89,7 @@ def test_filters_keep_all_columns(odd, items):
 
 
 def test_long_runs_without_a_match_stay_linear(spark):
-    texts = ["a" * 200_000 + "@", "1" * 200_000, "+1" + "(" * 200_000, "1." * 100_000, "1 2-" * 50_000, LONG * 3]
+    texts = ["a" * 200_000 + "@", "1" * 200_000, "+1" + "(" * 200_000, "999." * 50_000, "1 2-" * 50_000, LONG * 3]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert all(r.spans == "" for r in pii.summary(pii.detect(docs)).collect())
 

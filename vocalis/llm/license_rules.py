@@ -57,18 +57,14 @@ apache-1.0 85 apache licen[sc]e version 1 0
 apache-2.0 70 licensed under the apache licen[sc]e version 2(?: 0)? the license you may not use this file except in compliance with the license
 apache 70 (?:licensed|released|distributed|available) under (?:the )?(?:terms of the )?apache (?:software )?licen[sc]e
 apache 55 apache software licen[sc]e
-apache 35 asf licen[sc]e
 = mit
 mit 95 (?:www )?opensource org licenses mit(?: license)?(?: php| html)?
 mit 95 choosealicense com licenses mit
 mit 85 the mit licen[sc]e(?: mit)?
 mit 85 mit licen[sc]e copyright
 mit 70 (?:licensed|released|distributed|available) under (?:the )?(?:terms of the )?mit licen[sc]e
-mit 70 permission is hereby granted free of charge to any person obtaining a copy of this software
 mit 70 dual licensed under (?:the )?mit and [^ ]+(?: [^ ]+)? licenses?
 mit-0 85 mit no attribution(?: licen[sc]e)?
-x11 85 x11 licen[sc]e
-expat 85 expat licen[sc]e
 = bsd
 bsd-2-clause 95 (?:www )?opensource org licenses bsd 2 clause
 bsd-3-clause 95 (?:www )?opensource org licenses bsd 3 clause
@@ -83,8 +79,6 @@ bsd 55 bsd licen[sc]e
 bsd 35 bsd style
 = redistribution
 bsd 70 redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met
-bsd-3-clause 70 neither the name of (?:[^ ]+ ){1,20}nor the names of its contributors may be used to endorse or promote products
-bsd-4-clause 70 all advertising materials mentioning features or use of this software must display the following acknowledge?ment
 = gnu
 gpl-3.0 95 (?:www )?gnu org licenses gpl 3 0(?: en)?(?: html| txt)?
 gpl-2.0 95 (?:www )?gnu org licenses (?:old licenses )?gpl 2 0(?: en)?(?: html| txt)?
@@ -213,10 +207,8 @@ public-domain 35 public domain
 = unlicense
 unlicense 95 (?:www )?unlicense org
 unlicense 85 the unlicense
-unlicense 70 this is free and unencumbered software released into the public domain
 = isc
 isc 85 isc licen[sc]e
-isc 70 permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
 = zlib
 zlib 85 zlib(?: libpng)? licen[sc]e
 = warranty
@@ -253,7 +245,6 @@ ms-rl 85 microsoft reciprocal licen[sc]e
 = academic
 afl-3.0 85 academic free licen[sc]e (?:version |v )?3 0
 afl 55 academic free licen[sc]e
-ecl-2.0 85 educational community licen[sc]e (?:version |v )?2 0
 = open software
 osl-3.0 85 open software licen[sc]e (?:version |v )?3 0
 osl 55 open software licen[sc]e
@@ -296,4 +287,20 @@ all-rights-reserved 70 all rights reserved
 some-rights-reserved 55 some rights reserved
 = copyright
 copyright-notice 35 copyright (?:c )?(?:19|20)[0-9]{2}
+= unencumbered
+unlicense 70 this is free and unencumbered software released into the public domain
+= permission to use
+isc 70 permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
+= permission is hereby
+mit 70 permission is hereby granted free of charge to any person obtaining a copy of this software
+= neither the name
+bsd-3-clause 70 neither the name of (?:[^ ]+ ){1,20}nor the names of its contributors may be used to endorse or promote products
+= advertising materials
+bsd-4-clause 70 all advertising materials mentioning features or use of this software must display the following acknowledge?ment
+= educational community
+ecl-2.0 85 educational community licen[sc]e (?:version |v )?2 0
+= x11
+x11 85 x11 licen[sc]e
+= expat
+expat 85 expat licen[sc]e
 """
