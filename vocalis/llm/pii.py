@@ -90,20 +90,43 @@ def confirmed(kind: str, match: Column) -> Column:
 SPAN = "array<struct<start:int,order:int,end:int,kind:string,score:double>>"
 
 
-def spans_of(text: Column, kind: Kind) -> Column:
-    """The confirmed spans of a kind, in code points, end exclusive."""
+FOUND = "array<struct<start:int,end:int,before:string>>"
+#: Matches whose places are added up in one list.
+BLOCK = 256
+
+
+def pairs_of(text: Column, kind: Kind) -> Column:
+    """The matches of a kind in order, each with the piece of text before it."""
     pieces, matches = F.split(text, kind.pattern, -1), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     pairs = F.zip_with(pieces, matches, lambda p, m: F.struct(p.alias("piece"), m.alias("match")))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,match:string,before:string>>)").alias("found"))
+    pairs = F.filter(pairs, lambda p: p["match"].isNotNull())
+    return F.when(F.regexp_like(text, F.lit(kind.needs)), pairs).otherwise(F.array().cast("array<struct<piece:string,match:string>>"))
+
+
+def spans_of(pairs: Column, kind: Kind) -> Column:
+    """The confirmed spans of a kind, in code points, end exclusive. ``pairs`` should be a plain column, as it is read often."""
+    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {FOUND})").alias("found"))
 
     def step(state: Column, pair: Column) -> Column:
         begin = state["at"] + F.char_length(pair["piece"])
         end = begin + F.char_length(pair["match"])
         before = F.right(pair["piece"], F.lit(CONTEXT_CHARS))
-        one = F.struct(begin.alias("start"), end.alias("end"), pair["match"].alias("match"), before.alias("before"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(one)).alias("found"))
-
-    placed = F.aggregate(F.filter(pairs, lambda p: p["match"].isNotNull()), start, step)["found"]
+        one = F.struct(begin.alias("start"), end.alias("end"), before.alias("before"))
+        found = F.when(confirmed(kind.name, pair["match"]), F.concat(state["found"], F.array(one))).otherwise(state["found"])
+        return F.struct(end.alias("at"), found.alias("found"))
+
+    def join(state: Column, block: Column) -> Column:
+        moved = F.transform(
+            block["found"],
+            lambda x: F.struct((x["start"] + state["at"]).alias("start"), (x["end"] + state["at"]).alias("end"), x["before"].alias("before")),
+        )
+        return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["found"], F.array(moved)).alias("found"))
+
+    # Lists grow by copies, so places are added up in blocks, and the blocks are put one behind the other.
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(pairs), F.lit(1)), F.lit(BLOCK)), lambda i: i <= F.size(pairs))
+    blocks = F.transform(starts, lambda i: F.aggregate(F.slice(pairs, i, F.lit(BLOCK)), start, step))
+    whole = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{FOUND}>)").alias("found"))
+    placed = F.flatten(F.aggregate(blocks, whole, join)["found"])
     order = next(i for i, k in enumerate(KINDS) if k.name == kind.name)
 
     def span(x: Column) -> Column:
@@ -111,9 +134,9 @@ def spans_of(text: Column, kind: Kind) -> Column:
         points = F.when(near, kind.raised).otherwise(kind.score)
         return F.struct(x["start"].alias("start"), F.lit(order).alias("order"), x["end"].alias("end"), F.lit(kind.name).alias("kind"), points.alias("score"))
 
-    kept = F.transform(F.filter(placed, lambda x: confirmed(kind.name, x["match"])), span)
+    kept = F.transform(placed, span)
     kept = F.filter(kept, lambda x: x["score"] >= kind.least) if kind.least else kept
-    return F.when(F.regexp_like(text, F.lit(kind.needs)), kept.cast(SPAN)).otherwise(F.array().cast(SPAN))
+    return kept.cast(SPAN)
 
 
 def detect(docs: DataFrame, key: str = "doc_id", text: str = "text", kinds: list[Kind] = KINDS) -> DataFrame:
@@ -123,7 +146,8 @@ def detect(docs: DataFrame, key: str = "doc_id", text: str = "text", kinds: list
     each; an empty table gives no rows. Other columns are not read.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias("key"), *[spans_of(whole, k).alias(k.name) for k in kinds])
+    rows = docs.select(F.col(key).alias("key"), *[pairs_of(whole, k).alias(k.name) for k in kinds])
+    rows = rows.select("key", *[spans_of(F.col(k.name), k).alias(k.name) for k in kinds])
     return rows.select(F.col("key").alias(key), F.array_sort(F.concat(*[F.col(k.name) for k in kinds])).alias("spans"))
 
 
