@@ -68,8 +68,8 @@ def valences(spark: SparkSession) -> DataFrame:
     return lexicons.valence_table(spark, VALENCES)
 
 
-def land_conversations(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Conversations as videos with comments, documents as posts, written as API pages.
+def land_conversations(spark: SparkSession, sf_dir: str, folder: str, listings: bool = True) -> None:
+    """Conversations as videos with comments and, with ``listings``, documents as posts, written as API pages.
 
     A page holds at most 50 ids or details (ids are counted from 0 without gaps) or 100 comments (a
     conversation has each turn once), so no group that is collected into a page can grow.
@@ -107,7 +107,8 @@ def land_conversations(spark: SparkSession, sf_dir: str, folder: str) -> None:
     ordered = F.sort_array(F.collect_list(F.struct("turn", thread.alias("item"))))
     threads = talks.groupBy(video_id.alias("video_id"), F.expr("cast(turn div 100 as int)").alias("page_no"))
     threads.agg(F.transform(ordered, lambda x: x["item"]).alias("items")).write.json(f"{folder}/comments")
-    land_listings(spark, sf_dir, f"{folder}/listings")
+    if listings:
+        land_listings(spark, sf_dir, f"{folder}/listings")
 
 
 def land_listings(spark: SparkSession, sf_dir: str, folder: str) -> None:

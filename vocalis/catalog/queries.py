@@ -281,14 +281,14 @@ def landed_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stages.distinct_texts(landed.headlines(landed.read_pages(spark, path, schemas.LISTING)))
 
 
-def _landed(spark: SparkSession, sf_dir: str) -> str:
+def _landed(spark: SparkSession, sf_dir: str, listings: bool = True) -> str:
     path = workspace(spark)
-    binding.land_conversations(spark, sf_dir, path)
+    binding.land_conversations(spark, sf_dir, path, listings)
     return path
 
 
 def landed_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _landed(spark, sf_dir)
+    path = _landed(spark, sf_dir, listings=False)
     ids = landed.video_ids(landed.read_pages(spark, f"{path}/search", schemas.SEARCH_PAGE))
     details = landed.video_details(landed.read_pages(spark, f"{path}/details", schemas.DETAIL_PAGE))
     found = ranking.recent(ranking.with_details(ids, details), "published_at", binding.ANCHOR)
@@ -298,7 +298,7 @@ def landed_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _landed(spark, sf_dir)
+    path = _landed(spark, sf_dir, listings=False)
     return landed.video_comments(landed.read_pages(spark, f"{path}/comments", schemas.COMMENT_PAGE))
 
 

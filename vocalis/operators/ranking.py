@@ -17,9 +17,6 @@ TOP_VIDEOS = 50
 TOP_COMMENTS = 200
 LOOKBACK_DAYS = 30
 
-#: How many tasks share the rows of one group in the first step of ``top_per_group``.
-GROUP_SPLITS = 64
-
 
 def recent(df: DataFrame, column: str, anchor: datetime.datetime | Column, days: int = LOOKBACK_DAYS) -> DataFrame:
     """Rows whose time is at most ``days`` before ``anchor``."""
@@ -85,17 +82,18 @@ def top_videos(videos: DataFrame, n: int = TOP_VIDEOS, dedupe: str = "before", l
 
 
 def top_per_group(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, splits: int = GROUP_SPLITS
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, splits: int | None = None
 ) -> DataFrame:
     """The first ``n`` rows of every group in ``order``.
 
     Done in two steps, because one group may hold a third of all rows: the tasks that read a group
-    are dealt out to ``splits`` sub-groups, each of which keeps its first ``n``; the second step
-    ranks at most ``n * splits`` rows per group. Every row of the answer is among the first ``n`` of
+    are dealt out to ``splits`` sub-groups (as many as the session has shuffle partitions, unless
+    given), each of which keeps its first ``n``; the second step ranks at most ``n * splits`` rows per group. Every row of the answer is among the first ``n`` of
     its sub-group, so the answer is exact however the rows are dealt.
     """
     groups = list(group)
     kept = df.columns
+    splits = splits or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.withColumn("_split", F.pmod(F.spark_partition_id(), F.lit(splits)))
     first = W.partitionBy(*groups, "_split").orderBy(*order)
     survivors = dealt.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= n).select(*kept)
@@ -113,7 +111,7 @@ def comments_of(videos: DataFrame, comments: DataFrame) -> DataFrame:
     return comments.join(titles, "video_id")
 
 
-def top_comments(comments: DataFrame, n: int = TOP_COMMENTS, splits: int = GROUP_SPLITS) -> DataFrame:
+def top_comments(comments: DataFrame, n: int = TOP_COMMENTS, splits: int | None = None) -> DataFrame:
     """Per video the ``n`` comments with the most likes; equal likes stay in the order they arrived."""
     order = [F.desc("likes"), F.asc("page_no"), F.asc("pos")]
     return top_per_group(comments, ["video_id"], order, n, splits)
