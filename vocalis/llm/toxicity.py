@@ -1,7 +1,8 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A word's input is the sum of two embeddings: of its characters (hashed runs of three, with its ends marked)
-and of the word itself (hashed). Two gated recurrent units read a window of words in both directions;
+and of the word itself, if enough training documents have it. Word embeddings start along one direction, as far
+as the word's share of toxic training documents stands out. Two gated recurrent units read a window of words in both directions;
 attention weighs their states into one vector, from which the window's score is taken. A text is cut into
 overlapping windows over its whole length, all are scored, and the text's score is the highest one.
 
@@ -22,12 +23,19 @@ from vocalis.llm import common
 
 WINDOW, STRIDE = 32, 16
 HIDDEN = 8
-WORD_ROWS, CHAR_ROWS = 1 << 14, 1 << 13
+CHAR_ROWS = 1 << 13
+#: Training documents that must have a word for it to get an embedding.
+SEEN = 3
+#: Decimal places of chance at which a word starts to lean, and leans in full.
+DOUBT, SURE = 3.5, 7.0
 THRESHOLD = 0.3
 #: Labelled documents used for training, of either label; the smallest hashes of their keys are taken.
 TRAIN_ROWS = 600
-ROUNDS = 4
+#: Updates in training, and documents in each; few documents go round more often.
+STEPS, BATCH = 400, 16
 SEED = 7
+#: Embeddings learn this much slower than the rest, which has few weights and so generalises from few documents.
+EMBEDDING_PACE = 0.3
 #: Windows scored at once; bounds a worker's memory.
 BLOCK_WINDOWS = 1024
 CACHE = 100_000
@@ -44,11 +52,10 @@ def words_of(data: bytes) -> list[bytes]:
     return WORDS.findall(data.lower())
 
 
-def features(word: bytes) -> tuple[int, list[int]]:
-    """The row of the word and the rows of its runs of three characters."""
+def runs_of(word: bytes) -> list[int]:
+    """The rows of the word's runs of three characters."""
     marked = b"<" + word + b">"
-    runs = [zlib.crc32(marked[i : i + 3]) % CHAR_ROWS for i in range(len(marked) - 2)]
-    return zlib.crc32(word) % WORD_ROWS, runs
+    return [zlib.crc32(marked[i : i + 3]) % CHAR_ROWS for i in range(len(marked) - 2)]
 
 
 def windows_of(n_words: int) -> list[int]:
@@ -64,7 +71,9 @@ class Network:
     def __init__(self, seed: int = SEED):
         rng = np.random.default_rng(seed)
         small = lambda *shape: (rng.standard_normal(shape) * 0.15).astype(np.float32)
-        self.words, self.chars = small(WORD_ROWS, 2 * G) * 0, small(CHAR_ROWS, 2 * G)
+        self.known: dict[bytes, int] = {}  # rows of words; row 0 stands for all others
+        self.words, self.chars = np.zeros((1, 2 * G), np.float32), small(CHAR_ROWS, 2 * G) * 0.5
+        self.toxic_way = small(2 * G) * 18
         self.bias = np.zeros(2 * G, np.float32)
         self.forward, self.backward = small(HIDDEN, G) * 2, small(HIDDEN, G) * 2
         self.attend, self.query = small(2 * HIDDEN, HIDDEN) * 2, small(HIDDEN) * 4
@@ -73,7 +82,13 @@ class Network:
     def weights(self) -> dict[str, np.ndarray]:
         return {n: getattr(self, n) for n in self.NAMES}
 
-    def load(self, weights: dict[str, np.ndarray]) -> Network:
+    def know(self, words: list[bytes], lean: np.ndarray) -> None:
+        """Gives words rows, which start along the toxic direction as far as they lean to it."""
+        self.known = {w: i + 1 for i, w in enumerate(words)}
+        self.words = np.concatenate([np.zeros((1, 2 * G)), lean[:, None] * self.toxic_way]).astype(np.float32)
+
+    def load(self, known: dict[bytes, int], weights: dict[str, np.ndarray]) -> Network:
+        self.known = known
         for name, value in weights.items():
             setattr(self, name, value)
         return self
@@ -165,7 +180,8 @@ class Network:
 class Vocabulary:
     """Numbers for words, with their feature rows; a number's features are looked up in one array."""
 
-    def __init__(self):
+    def __init__(self, known: dict[bytes, int] | None = None):
+        self.known = known or {}
         self.numbers: dict[bytes, int] = {}
         self.word_rows: list[int] = []
         self.char_rows: list[int] = []
@@ -176,10 +192,9 @@ class Vocabulary:
         got = list(map(numbers.get, words))
         if None in got:
             for word in dict.fromkeys(w for w, g in zip(words, got) if g is None):
-                row, runs = features(word)
                 numbers[word] = len(numbers)
-                self.word_rows.append(row)
-                self.char_rows += runs
+                self.word_rows.append(self.known.get(word, 0))
+                self.char_rows += runs_of(word)
                 self.char_ends.append(len(self.char_rows))
             got = list(map(numbers.__getitem__, words))
         return np.array(got, np.int64)
@@ -215,7 +230,7 @@ class Scorer:
         self._reset()
 
     def _reset(self) -> None:
-        self.vocabulary, self.inputs = Vocabulary(), np.empty((0, 2 * G), np.float32)
+        self.vocabulary, self.inputs = Vocabulary(self.network.known), np.empty((0, 2 * G), np.float32)
 
     def scores(self, texts: list[bytes]) -> list[float]:
         if len(self.vocabulary.numbers) > CACHE:
@@ -249,17 +264,39 @@ def _summed(rows: np.ndarray, grads: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return own, np.add.reduceat(grads[order], begins, axis=0)
 
 
-def train(texts: list[bytes], labels: list[int], rounds: int = ROUNDS, seed: int = SEED, batch: int = 32, rate: float = 0.02) -> Network:
+def leaning(numbers: list[np.ndarray], marks: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words that enough documents have, and how far each leans to toxic ones, from -1 to 1.
+
+    A word leans as far as its share of toxic documents is unlikely by chance, on a scale of decimal places
+    (Chernoff's bound) between DOUBT, which some words reach among thousands, and SURE.
+    """
+    seen = np.zeros((2, size))
+    for text, mark in zip(numbers, marks):
+        seen[int(mark), np.unique(text)] += 1
+    chosen = np.flatnonzero(seen.sum(axis=0) >= SEEN)
+    clean, toxic = seen[:, chosen]
+    share, usual = toxic / np.maximum(clean + toxic, 1), np.clip(marks.mean() if len(marks) else 0.5, 0.01, 0.99)
+    apart = share * np.log(np.maximum(share, 1e-9) / usual) + (1 - share) * np.log(np.maximum(1 - share, 1e-9) / (1 - usual))
+    places = (clean + toxic) * apart / np.log(10)
+    return chosen, np.sign(share - usual) * np.clip((places - DOUBT) / (SURE - DOUBT), 0, 1)
+
+
+def train(texts: list[bytes], labels: list[int], steps: int = STEPS, seed: int = SEED, batch: int = BATCH, rate: float = 0.02) -> Network:
     """Fits the network by Adam; each document counts through its highest window."""
     network, vocabulary, rng = Network(seed), Vocabulary(), np.random.default_rng(seed)
     numbers = [vocabulary.numbered(words_of(t)) for t in texts]
-    word_rows, char_rows, char_ends = vocabulary.arrays()
+    _, char_rows, char_ends = vocabulary.arrays()
+    chosen, lean = leaning(numbers, np.array(labels, np.float64), len(vocabulary.numbers))
+    names = list(vocabulary.numbers)
+    network.know([names[i] for i in chosen], lean)
+    word_rows = np.zeros(len(names), np.int64)
+    word_rows[chosen] = np.arange(1, len(chosen) + 1)
     begins = np.concatenate([[0], char_ends[:-1]]) if len(char_ends) else np.empty(0, np.int64)
     marks = np.array(labels, np.float32)
     first = {n: np.zeros_like(w) for n, w in network.weights().items()}
     second = {n: np.zeros_like(w) for n, w in network.weights().items()}
     step = 0
-    for _ in range(rounds):
+    for _ in range(-(-steps * batch // len(texts)) if texts else 0):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), batch):
             chosen = order[at : at + batch]
@@ -287,14 +324,17 @@ def train(texts: list[bytes], labels: list[int], rounds: int = ROUNDS, seed: int
             counts = np.diff(np.concatenate([[0], ends]))
             per_run = np.repeat(to_words / counts[:, None].astype(np.float32), counts, axis=0)
             touched = {"words": _summed(word_rows[used], to_words), "chars": _summed(flat_runs, per_run)}
+            touched["words"][1][touched["words"][0] == 0] = 0  # the row of other words stays empty
             touched |= {name: (slice(None), grad) for name, grad in grads.items()}
             step += 1
-            scale = rate * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+            slower = max(0.0, 1 - step / (steps + 1))  # to rest at the end
+            scale = rate * slower * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
             for name, weights in network.weights().items():
                 rows, grad = touched[name]  # of an embedding, only the rows that occur move
                 first[name][rows] += 0.1 * (grad - first[name][rows])
                 second[name][rows] += 0.01 * (grad**2 - second[name][rows])
-                weights[rows] -= (scale * first[name][rows] / (np.sqrt(second[name][rows]) + 1e-7)).astype(np.float32)
+                pace = scale * (EMBEDDING_PACE if name in ("words", "chars") else 1)
+                weights[rows] -= (pace * first[name][rows] / (np.sqrt(second[name][rows]) + 1e-7)).astype(np.float32)
     return network
 
 
@@ -323,10 +363,10 @@ def scores(docs: DataFrame, network: Network, threshold: float = THRESHOLD, key:
     A null or empty text is one empty window and gets the network's score of nothing. Repeated rows get equal
     scores; an empty table gives no rows. A null key is not held out. Other columns are not read.
     """
-    weights = network.weights()
+    known, weights = network.known, network.weights()
 
     def make():
-        scorer = Scorer(Network().load(weights))
+        scorer = Scorer(Network().load(known, weights))
 
         def score(texts: list[bytes]) -> dict[str, list]:
             return {"score": scorer.scores(texts)}
