@@ -90,7 +90,8 @@ def place_in_order(rows: DataFrame, order: list[str], within: str | None = None)
     """``rows`` with ``_place``, the row's place from 0 in ``order`` (among the rows of the same ``within``).
 
     A distributed prefix sum: rows are range-partitioned and sorted once and written with their place in
-    their partition; the counts of the partitions before are added. No task holds a whole group, however
+    their partition; the counts of the partitions before are added. The counts are written, so the planner knows how small
+    they are and does not shuffle the rows to join them. No task holds a whole group, however
     large, and only the counts, one per partition and group, meet in a window. Fully equal rows may
     change places with each other; nulls come first.
     """
@@ -101,7 +102,7 @@ def place_in_order(rows: DataFrame, order: list[str], within: str | None = None)
     blocks = placed.groupBy("_part", group.alias("_group")).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    blocks = blocks.select(F.col("_part").alias("_part_"), "_group", "_first", "_before")
+    blocks = written(blocks.select(F.col("_part").alias("_part_"), "_group", "_first", "_before"))
     same = (placed["_part"] == blocks["_part_"]) & group.eqNullSafe(blocks["_group"])
     place = F.col("_at") - F.col("_first") + F.col("_before")
     return placed.join(blocks, same).withColumn("_place", place).drop("_part", "_at", "_part_", "_group", "_first", "_before")

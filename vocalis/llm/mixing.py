@@ -65,7 +65,7 @@ def plan(
     )
     placed = common.place_in_order(sized, ["size", "key"], within="source")
     sources = placed.groupBy("source").agg(F.sum("size").alias("source_size"))
-    aims = targets(sources, weights, share, most).withColumnRenamed("source", "_source")
+    aims = common.written(targets(sources, weights, share, most).withColumnRenamed("source", "_source"))
     rows = placed.join(aims, placed["source"].eqNullSafe(aims["_source"])).drop("_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     at = lambda place: F.floor(rate * place + offset(F.col("source"), seed))
