@@ -8,7 +8,7 @@ from vocalis import lexicons, schemas
 from vocalis.functions import text
 from vocalis.operators import stages
 from vocalis.plans import opinions
-from vocalis.session import workspace
+from vocalis.session import clear_workspaces, workspace
 from vocalis.sources import landed, sinks, tables
 from vocalis.streaming import live
 
@@ -264,6 +264,7 @@ def test_windows_drop_late_rows(spark, tmp_path):
 def test_workspace_follows_the_setting(spark, monkeypatch):
     first, second = workspace(spark), workspace(spark)
     assert first != second
+    monkeypatch.setattr("vocalis.session._made", [])  # the folders named below are on no file system of this test
 
     class Cluster:
         class conf:
@@ -279,6 +280,17 @@ def test_workspace_follows_the_setting(spark, monkeypatch):
     assert workspace(Cluster).startswith("hdfs:///shared/vocalis-")
 
 
+def test_only_own_workspaces_are_removed(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("vocalis.session._made", [])
+    own, other = workspace(spark), str(tmp_path / "other")
+    for path in (own, other):
+        spark.range(3).write.parquet(path)
+    clear_workspaces(spark)
+    assert spark.read.parquet(other).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(own)
+
+
 def test_null_text_has_no_words(spark):
     df = spark.createDataFrame([(None,)], "t string")
     assert df.select(text.words(F.col("t")).alias("w")).first()["w"] is None
