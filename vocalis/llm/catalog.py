@@ -32,6 +32,10 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op2_benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.near_report(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counts(_documents(spark, sf_dir), public_tokenizers.path(COUNTED_WITH))
 
@@ -75,7 +79,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
-        op1_license_scans, op2_benchmark_decontamination, op3_token_counts, op4_minhash_near_dedup, op5_toxicity,
-        op6_pii, op7_quality_rules, op8_source_mix, op9_sharding, op10_token_files,
+        op1_license_scans, op2_benchmark_decontamination, op2_benchmark_proximity, op3_token_counts, op4_minhash_near_dedup,
+        op5_toxicity, op6_pii, op7_quality_rules, op8_source_mix, op9_sharding, op10_token_files,
     )
 }

@@ -10,6 +10,9 @@ line or passage is spread over the tasks that read it, and no list is ever gathe
 
 The phrases travel to the postings by an ordinary join on the word; they are read from a written table, so
 the planner knows their size and broadcasts them only if they are small.
+
+Near matches may lack some words of a phrase, also its rarest. With ``slack`` words that may be missing, each
+phrase is led by its slack + 1 rarest words: a place that lacks no more than ``slack`` holds one of them.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ LENGTH = 13
 DOCUMENT = ""
 #: Leading words that are broadcast to the texts: some MB. With more of them, places are shuffled to the words.
 BROADCAST_WORDS = 100_000
+#: A near match may lack so many of a phrase's different words, and is so many words longer than the phrase.
+SLACK, REACH = 2, 3
 
 
 def windows(items: DataFrame, length: int = LENGTH, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -46,26 +51,34 @@ def _tokens(texts: DataFrame) -> DataFrame:
     return texts.select("row", "key", "all", F.posexplode(listed).alias("place", "word"))
 
 
-def phrases(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(item, words, word, offset) with the phrase's rarest word in the documents; ties take the first place.
+def phrases(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text", slack: int = 0) -> DataFrame:
+    """(item, words, word, offset) with the phrase's rarest words in the documents; ties take the first place.
 
-    The counts cover all documents. A phrase with a word that no document holds cannot occur and is left out.
+    The counts cover all documents. A phrase has one leading word more than may still be missing. Words that no
+    document holds are missing everywhere: a phrase with more than ``slack`` of them cannot occur and is left out.
     """
     terms = common.written(found.select(F.explode("words").alias("word")).distinct())
     counts = _tokens(_texts(docs, key, text)).select("word").join(terms, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     each = found.select("item", "words", F.posexplode("words").alias("offset", "word")).join(counts, "word", "left")
-    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "word")).alias("lead")
-    led = each.groupBy("item", "words").agg(rarest).where(F.col("lead.n") > 0)
+    each = each.where(F.array_position("words", F.col("word")) == F.col("offset") + 1)
+    ranked = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "word"))).alias("ranked")
+    held = F.filter("ranked", lambda x: x["n"] > 0)
+    left = F.lit(slack) - F.size("ranked") + F.size(held)
+    led = each.groupBy("item", "words").agg(ranked).where(left >= 0)
+    led = led.select("item", "words", F.explode(F.slice(held, F.lit(1), left + 1)).alias("lead"))
     return common.written(led.select("item", "words", F.col("lead.word").alias("word"), F.col("lead.offset").alias("offset")))
 
 
-def index(docs: DataFrame, led: DataFrame, key: str = "doc_id", text: str = "text", reach: int = 0) -> DataFrame:
+def index(docs: DataFrame, led: DataFrame, key: str = "doc_id", text: str = "text", reach: int | None = None) -> DataFrame:
     """The stored postings: (row, key, word, place, first, around), ``around`` being words[first, first + size).
 
-    ``reach`` widens the neighbourhood to both sides, for proximity. The row with the word DOCUMENT is kept
-    for every document, so the index also lists documents without any leading word.
+    With ``reach``, for proximity, the neighbourhood holds every window around the word that is ``reach`` words longer
+    than a phrase. The row with the word DOCUMENT is kept for every document, so the index also lists documents
+    without any leading word.
     """
-    before, after = F.max("offset") + reach, F.max(F.size("words") - F.col("offset")) + reach
+    before, after = F.max("offset"), F.max(F.size("words") - F.col("offset"))
+    if reach is not None:
+        before, after = F.max(F.size("words")) + reach - 1, F.max(F.size("words")) + reach
     terms = led.groupBy("word").agg(before.alias("before"), after.alias("after"))
     own = docs.sparkSession.range(1).select(F.lit(DOCUMENT).alias("word"), F.lit(0).alias("before"), F.lit(0).alias("after"))
     terms = common.written(terms.unionByName(own))
@@ -89,15 +102,25 @@ def phrase_matches(postings: DataFrame, led: DataFrame) -> DataFrame:
     return hits.select("row", "key", "item", start.alias("start"), F.size("words").alias("length"))
 
 
-def proximity_matches(postings: DataFrame, led: DataFrame, slack: int) -> DataFrame:
-    """(row, key, item, place, missing): places of the leading word near which most of the phrase's words stand.
+def proximity_matches(postings: DataFrame, led: DataFrame, slack: int, reach: int = REACH) -> DataFrame:
+    """(row, key, item, start, length, missing): every window in which most of a phrase's words stand, in any order.
 
-    ``missing`` is how many different words of the phrase are not within ``around``; at most ``slack``. With
-    an index of ``reach`` r, words may stand up to r places off their place in the phrase, in any order.
+    Windows are ``reach`` words longer than the phrase; a document of fewer words is one window. ``missing`` is how
+    many different words of the phrase are not in the window: at most ``slack``, and not all; the fewest of the item's
+    phrases of that length. Every window is given once, whichever leading words it holds. Complete if the phrases
+    were led with this slack and the postings stored with this reach, or with more.
     """
     pairs = postings.where(F.col("word") != DOCUMENT).join(led, "word")
-    missing = F.size(F.array_except("words", "around"))
-    return pairs.select("row", "key", "item", "place", missing.alias("missing")).where(F.col("missing") <= slack)
+    n, length = F.size(F.array_distinct("words")), F.size("words") + F.lit(reach)
+    most = F.least(F.lit(slack), n - 1)
+    pairs = pairs.select("row", "key", "item", "words", "place", "first", "around", length.alias("length"), most.alias("most"))
+    pairs = pairs.where(F.size(F.array_except("words", "around")) <= F.col("most"))
+    last = F.least(F.col("place"), F.greatest(F.col("first") + F.size("around") - F.col("length"), F.lit(0)))
+    lowest = F.greatest(F.col("place") - F.col("length") + 1, F.col("first"))
+    pairs = pairs.where(lowest <= last).withColumn("start", F.explode(F.sequence(lowest, last)))
+    window = F.slice("around", F.col("start") - F.col("first") + 1, F.col("length"))
+    pairs = pairs.withColumn("missing", F.size(F.array_except("words", window))).where(F.col("missing") <= F.col("most"))
+    return pairs.groupBy("row", "key", "item", "start", "length").agg(F.min("missing").alias("missing"))
 
 
 def covered(matches: DataFrame) -> DataFrame:
@@ -141,6 +164,32 @@ def report(
     )
 
 
+def near_report(
+    docs: DataFrame, items: DataFrame, length: int = LENGTH, slack: int = SLACK, reach: int = REACH,
+    key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
+) -> DataFrame:
+    """(key, n_words, n_near_windows, n_near, near_sha256, n_missing), one row per row of ``docs``.
+
+    Windows with a near match, items that have one, the sha256 of their ids as in ``report``, and the fewest words
+    missing in any; null without a near match. Exact matches are near matches. Otherwise as ``report``.
+    """
+    found = common.written(windows(items, length, item_key, item_text))
+    led = phrases(docs, found, key, text, slack)
+    postings = index(docs, led, key, text, reach)
+    matches = common.written(proximity_matches(postings, led, slack, reach).drop("key"))
+    spots = matches.groupBy("row", "start", "length").agg(F.min("missing").alias("missing"))
+    spots = spots.groupBy("row").agg(F.count(F.lit(1)).alias("n_near_windows"), F.min("missing").cast("long").alias("n_missing"))
+    ids = matches.select("row", "item").distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    every = postings.where(F.col("word") == DOCUMENT).select("row", F.col("key").alias(key), F.col("place").cast("long").alias("n_words"))
+    rows = every.join(spots.join(ids, "row", "left"), "row", "left")
+    items_ = F.coalesce("items", F.array().cast("array<string>"))
+    return rows.select(
+        key, "n_words", F.coalesce("n_near_windows", F.lit(0)).cast("long").alias("n_near_windows"),
+        F.size(items_).cast("long").alias("n_near"),
+        F.sha2(F.array_join(items_, ",").cast("binary"), 256).alias("near_sha256"), "n_missing",
+    )
+
+
 def clean(docs: DataFrame, items: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns. A row without a key stays.
 
