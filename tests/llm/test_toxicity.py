@@ -59,5 +59,19 @@ def test_held_out_accuracy(spark):
     assert found and all(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in found)
     right = sum(r.predicted == r.toxic for r in found) / len(found)
     caught = sum(r.predicted for r in found if r.toxic) / sum(r.toxic for r in found)
-    assert right >= 0.95 and caught >= 0.8  # some toxic labels stand on texts without a toxic word
+    assert right >= 0.97 and caught >= 0.9
     assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_forms_of_a_stem_that_no_training_document_has():
+    rng = np.random.default_rng(3)
+    ending = lambda: "".join(rng.choice(list("abcdefghijklm"), 5))
+    clean = lambda: [ending() for _ in range(20)]
+    toxic = lambda: " ".join([*clean(), f"zorqu{ending()}", *clean()]).encode()
+    texts = [" ".join(clean() + clean()).encode() for _ in range(120)] + [toxic() for _ in range(40)]
+    network = train(texts, [0] * 120 + [1] * 40)
+    assert network.stems[b"<zorqu"] == 1 and toxicity.strongest(b"ordinary", network.stems) == 0
+    found = toxicity.Scorer(network).scores([toxic() for _ in range(50)])
+    assert np.mean(np.array(found) >= toxicity.THRESHOLD) >= 0.9
+    other = toxicity.Scorer(network).scores([" ".join(clean() + clean()).encode() for _ in range(50)])
+    assert np.mean(np.array(other) >= toxicity.THRESHOLD) <= 0.1

@@ -2,7 +2,9 @@
 
 A word's input is the sum of two embeddings: of its characters (hashed runs of three, with its ends marked)
 and of the word itself, if enough training documents have it. Word embeddings start along one direction, as far
-as the word's share of toxic training documents stands out. Two gated recurrent units read a window of words in both directions;
+as the word's share of toxic training documents stands out. So that forms of a word that no training document has
+are known by what they share, the word's strongest stem, a run of three to six characters that stands out in the same
+way, is added along a learned direction. Two gated recurrent units read a window of words in both directions;
 attention weighs their states into one vector, from which the window's score is taken. A text is cut into
 overlapping windows over its whole length, all are scored, and the text's score is the highest one.
 
@@ -26,6 +28,10 @@ HIDDEN = 8
 CHAR_ROWS = 1 << 13
 #: Training documents that must have a word for it to get an embedding.
 SEEN = 3
+#: The same for stems; there are many more of them than words, and a few documents share many by chance.
+STEM_SEEN, STEM_DOUBT, STEM_SURE = 8, 2.5, 5.0
+#: Characters of a stem, with the word's ends marked.
+STEM_CHARS = range(3, 7)
 #: Decimal places of chance at which a word starts to lean, and leans in full.
 DOUBT, SURE = 3.5, 7.0
 THRESHOLD = 0.3
@@ -58,6 +64,17 @@ def runs_of(word: bytes) -> list[int]:
     return [zlib.crc32(marked[i : i + 3]) % CHAR_ROWS for i in range(len(marked) - 2)]
 
 
+def stems_of(word: bytes) -> list[bytes]:
+    """All runs of STEM_CHARS characters, which may cross the marked ends. Characters are bytes of UTF-8."""
+    marked = b"<" + word + b">"
+    return [marked[i : i + n] for n in STEM_CHARS for i in range(len(marked) - n + 1)]
+
+
+def strongest(word: bytes, stems: dict[bytes, float]) -> float:
+    """The highest lean among the word's stems; 0 without any."""
+    return max((stems[s] for s in stems_of(word) if s in stems), default=0.0) if stems else 0.0
+
+
 def windows_of(n_words: int) -> list[int]:
     """Starts of windows that cover all words; neighbours overlap by half. A text without words has one empty window."""
     return list(range(0, max(1, n_words - STRIDE), STRIDE)) if n_words > WINDOW else [0]
@@ -66,7 +83,7 @@ def windows_of(n_words: int) -> list[int]:
 class Network:
     """Weights, the forward pass and its gradient. Inputs are gate inputs of both directions per word."""
 
-    NAMES = ("words", "chars", "bias", "forward", "backward", "attend", "query", "out", "shift")
+    NAMES = ("words", "chars", "stem", "bias", "forward", "backward", "attend", "query", "out", "shift")
 
     def __init__(self, seed: int = SEED):
         rng = np.random.default_rng(seed)
@@ -74,6 +91,8 @@ class Network:
         self.known: dict[bytes, int] = {}  # rows of words; row 0 stands for all others
         self.words, self.chars = np.zeros((1, 2 * G), np.float32), small(CHAR_ROWS, 2 * G) * 0.5
         self.toxic_way = small(2 * G) * 18
+        self.stems: dict[bytes, float] = {}  # how far stems lean to toxic documents
+        self.stem = self.toxic_way.copy()
         self.bias = np.zeros(2 * G, np.float32)
         self.forward, self.backward = small(HIDDEN, G) * 2, small(HIDDEN, G) * 2
         self.attend, self.query = small(2 * HIDDEN, HIDDEN) * 2, small(HIDDEN) * 4
@@ -87,19 +106,19 @@ class Network:
         self.known = {w: i + 1 for i, w in enumerate(words)}
         self.words = np.concatenate([np.zeros((1, 2 * G)), lean[:, None] * self.toxic_way]).astype(np.float32)
 
-    def load(self, known: dict[bytes, int], weights: dict[str, np.ndarray]) -> Network:
-        self.known = known
+    def load(self, known: dict[bytes, int], stems: dict[bytes, float], weights: dict[str, np.ndarray]) -> Network:
+        self.known, self.stems = known, stems
         for name, value in weights.items():
             setattr(self, name, value)
         return self
 
-    def gate_inputs(self, word_rows: np.ndarray, char_rows: np.ndarray, char_ends: np.ndarray) -> np.ndarray:
-        """One row per word: bias, the word's row and the mean of its characters' rows."""
+    def gate_inputs(self, word_rows: np.ndarray, char_rows: np.ndarray, char_ends: np.ndarray, leans: np.ndarray) -> np.ndarray:
+        """One row per word: bias, the word's row, the mean of its characters' rows and the weight of its stem."""
         if not len(word_rows):
             return np.empty((0, 2 * G), np.float32)
         starts = np.concatenate([[0], char_ends[:-1]])
         sums = np.add.reduceat(self.chars[char_rows], starts, axis=0)
-        return self.bias + self.words[word_rows] + sums / (char_ends - starts)[:, None].astype(np.float32)
+        return self.bias + self.words[word_rows] + sums / (char_ends - starts)[:, None].astype(np.float32) + leans[:, None] * self.stem
 
     @staticmethod
     def _unit(x: np.ndarray, live: np.ndarray, weights: np.ndarray, keep: list | None) -> np.ndarray:
@@ -180,12 +199,13 @@ class Network:
 class Vocabulary:
     """Numbers for words, with their feature rows; a number's features are looked up in one array."""
 
-    def __init__(self, known: dict[bytes, int] | None = None):
-        self.known = known or {}
+    def __init__(self, known: dict[bytes, int] | None = None, stems: dict[bytes, float] | None = None):
+        self.known, self.stems = known or {}, stems or {}
         self.numbers: dict[bytes, int] = {}
         self.word_rows: list[int] = []
         self.char_rows: list[int] = []
         self.char_ends: list[int] = []
+        self.leans: list[float] = []
 
     def numbered(self, words: list[bytes]) -> np.ndarray:
         numbers = self.numbers
@@ -196,14 +216,15 @@ class Vocabulary:
                 self.word_rows.append(self.known.get(word, 0))
                 self.char_rows += runs_of(word)
                 self.char_ends.append(len(self.char_rows))
+                self.leans.append(strongest(word, self.stems))
             got = list(map(numbers.__getitem__, words))
         return np.array(got, np.int64)
 
-    def arrays(self, since: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def arrays(self, since: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Feature rows of the words from number ``since``."""
         begin = self.char_ends[since - 1] if since else 0
         return (np.array(self.word_rows[since:], np.int64), np.array(self.char_rows[begin:], np.int64),
-                np.array(self.char_ends[since:], np.int64) - begin)
+                np.array(self.char_ends[since:], np.int64) - begin, np.array(self.leans[since:], np.float32))
 
 
 def laid_out(numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +251,7 @@ class Scorer:
         self._reset()
 
     def _reset(self) -> None:
-        self.vocabulary, self.inputs = Vocabulary(self.network.known), np.empty((0, 2 * G), np.float32)
+        self.vocabulary, self.inputs = Vocabulary(self.network.known, self.network.stems), np.empty((0, 2 * G), np.float32)
 
     def scores(self, texts: list[bytes]) -> list[float]:
         if len(self.vocabulary.numbers) > CACHE:
@@ -264,30 +285,42 @@ def _summed(rows: np.ndarray, grads: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return own, np.add.reduceat(grads[order], begins, axis=0)
 
 
-def leaning(numbers: list[np.ndarray], marks: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+def leaning(numbers: list[np.ndarray], marks: np.ndarray, size: int, seen_by: int = SEEN, doubt: float = DOUBT, sure: float = SURE) -> tuple[np.ndarray, np.ndarray]:
     """The words that enough documents have, and how far each leans to toxic ones, from -1 to 1.
 
     A word leans as far as its share of toxic documents is unlikely by chance, on a scale of decimal places
-    (Chernoff's bound) between DOUBT, which some words reach among thousands, and SURE.
+    (Chernoff's bound) between ``doubt``, which some words reach among thousands, and ``sure``.
     """
     seen = np.zeros((2, size))
     for text, mark in zip(numbers, marks):
         seen[int(mark), np.unique(text)] += 1
-    chosen = np.flatnonzero(seen.sum(axis=0) >= SEEN)
+    chosen = np.flatnonzero(seen.sum(axis=0) >= seen_by)
     clean, toxic = seen[:, chosen]
     share, usual = toxic / np.maximum(clean + toxic, 1), np.clip(marks.mean() if len(marks) else 0.5, 0.01, 0.99)
     apart = share * np.log(np.maximum(share, 1e-9) / usual) + (1 - share) * np.log(np.maximum(1 - share, 1e-9) / (1 - usual))
     places = (clean + toxic) * apart / np.log(10)
-    return chosen, np.sign(share - usual) * np.clip((places - DOUBT) / (SURE - DOUBT), 0, 1)
+    return chosen, np.sign(share - usual) * np.clip((places - doubt) / (sure - doubt), 0, 1)
+
+
+def leaning_stems(names: list[bytes], numbers: list[np.ndarray], marks: np.ndarray) -> dict[bytes, float]:
+    """The stems that lean to toxic documents, and how far."""
+    stems: dict[bytes, int] = {}
+    own = [np.array([stems.setdefault(s, len(stems)) for s in stems_of(name)], np.int64) for name in names]
+    held = [np.concatenate([np.empty(0, np.int64), *(own[i] for i in np.unique(text))]) for text in numbers]
+    chosen, lean = leaning(held, marks, len(stems), STEM_SEEN, STEM_DOUBT, STEM_SURE)
+    listed = list(stems)
+    return {listed[i]: float(x) for i, x in zip(chosen, lean) if x > 0}
 
 
 def train(texts: list[bytes], labels: list[int], steps: int = STEPS, seed: int = SEED, batch: int = BATCH, rate: float = 0.02) -> Network:
     """Fits the network by Adam; each document counts through its highest window."""
     network, vocabulary, rng = Network(seed), Vocabulary(), np.random.default_rng(seed)
     numbers = [vocabulary.numbered(words_of(t)) for t in texts]
-    _, char_rows, char_ends = vocabulary.arrays()
+    _, char_rows, char_ends, _ = vocabulary.arrays()
     chosen, lean = leaning(numbers, np.array(labels, np.float64), len(vocabulary.numbers))
     names = list(vocabulary.numbers)
+    network.stems = leaning_stems(names, numbers, np.array(labels, np.float64))
+    leans = np.array([strongest(n, network.stems) for n in names], np.float32)
     network.know([names[i] for i in chosen], lean)
     word_rows = np.zeros(len(names), np.int64)
     word_rows[chosen] = np.arange(1, len(chosen) + 1)
@@ -308,7 +341,7 @@ def train(texts: list[bytes], labels: list[int], steps: int = STEPS, seed: int =
             runs = [char_rows[begins[w] : char_ends[w]] for w in used]
             ends = np.cumsum([len(r) for r in runs])
             flat_runs = np.concatenate(runs)
-            inputs = network.gate_inputs(word_rows[used], flat_runs, ends)
+            inputs = network.gate_inputs(word_rows[used], flat_runs, ends, leans[used])
             live = (grid >= 0).astype(np.float32)
             logits = network.logits(inputs[local], live)
             bounds = [*firsts.tolist(), grid.shape[1]]
@@ -320,7 +353,7 @@ def train(texts: list[bytes], labels: list[int], steps: int = STEPS, seed: int =
             to_words = np.zeros_like(inputs)
             spots = live[:, best] > 0
             np.add.at(to_words, local[:, best][spots], to_x[spots])
-            grads["bias"] = to_words.sum(axis=0)
+            grads["bias"], grads["stem"] = to_words.sum(axis=0), leans[used] @ to_words
             counts = np.diff(np.concatenate([[0], ends]))
             per_run = np.repeat(to_words / counts[:, None].astype(np.float32), counts, axis=0)
             touched = {"words": _summed(word_rows[used], to_words), "chars": _summed(flat_runs, per_run)}
@@ -363,10 +396,10 @@ def scores(docs: DataFrame, network: Network, threshold: float = THRESHOLD, key:
     A null or empty text is one empty window and gets the network's score of nothing. Repeated rows get equal
     scores; an empty table gives no rows. A null key is not held out. Other columns are not read.
     """
-    known, weights = network.known, network.weights()
+    known, stems, weights = network.known, network.stems, network.weights()
 
     def make():
-        scorer = Scorer(Network().load(known, weights))
+        scorer = Scorer(Network().load(known, stems, weights))
 
         def score(texts: list[bytes]) -> dict[str, list]:
             return {"score": scorer.scores(texts)}
