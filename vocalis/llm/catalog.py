@@ -51,7 +51,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.summary(pii.detect(_documents(spark, sf_dir)))
+    return pii.summary(pii.detect(_documents(spark, sf_dir), whole_context=True))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Personal data: regular expressions propose spans, validators confirm them, context words adjust the score.
 
 Only built-in functions, one pass, no shuffle. Where a pattern matches, the text splits into the pieces
-between the matches; the lengths of pieces and matches, added up, are the places. A piece also holds the
-words before its match, which are the context.
+between the matches; the lengths of pieces and matches, added up, are the places. The pieces and matches
+around a match give its context.
 
 The expressions have possessive repeats and start only where a run starts (or where the last match ended):
 that changes no match, but long runs without a match stay linear and need no deep stack.
@@ -15,8 +15,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Characters before a span in which context words count.
+#: Characters before a span, and after it, in which context words count.
 CONTEXT_CHARS = 48
+#: Matches that reach so far: none has fewer than two characters.
+CONTEXT_MATCHES = CONTEXT_CHARS // 2
 
 
 class Kind(NamedTuple):
@@ -24,7 +26,7 @@ class Kind(NamedTuple):
     pattern: str
     needs: str  # a text without a match of this has no span of the kind
     score: float
-    context: str  # words before the span that raise the score
+    context: str  # words around the span that raise the score
     raised: float
     least: float  # spans below are dropped
 
@@ -90,47 +92,69 @@ def confirmed(kind: str, match: Column) -> Column:
 SPAN = "array<struct<start:int,order:int,end:int,kind:string,score:double>>"
 
 
-FOUND = "array<struct<start:int,end:int,before:string>>"
+FOUND = "array<struct<start:int,end:int,nth:int>>"
 #: Matches whose places are added up in one list.
 BLOCK = 256
 
 
 def pairs_of(text: Column, kind: Kind) -> Column:
-    """The matches of a kind in order, each with the piece of text before it."""
+    """The matches of a kind in order, each with the piece of text before it; last, the piece after all of them, without a match."""
     pieces, matches = F.split(text, kind.pattern, -1), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     pairs = F.zip_with(pieces, matches, lambda p, m: F.struct(p.alias("piece"), m.alias("match")))
-    pairs = F.filter(pairs, lambda p: p["match"].isNotNull())
     return F.when(F.regexp_like(text, F.lit(kind.needs)), pairs).otherwise(F.array().cast("array<struct<piece:string,match:string>>"))
 
 
-def spans_of(pairs: Column, kind: Kind) -> Column:
+def context_of(pairs: Column, nth: Column, whole: bool) -> Column:
+    """The text before the match with number ``nth`` from 1, and if ``whole`` after it; not the match itself.
+
+    Not ``whole``, the text before ends at the match before. As only the nearest pieces and matches are joined, the
+    work does not grow with the place in the text.
+    """
+    piece = F.get(pairs, nth - 1)["piece"]
+    if not whole:
+        return F.right(piece, F.lit(CONTEXT_CHARS))
+    first = F.greatest(nth - CONTEXT_MATCHES, F.lit(1))
+    earlier = F.transform(F.slice(pairs, first, nth - first), lambda p: F.right(F.concat(p["piece"], p["match"]), F.lit(CONTEXT_CHARS)))
+    later = F.transform(
+        F.slice(pairs, nth + 1, F.lit(CONTEXT_MATCHES + 1)),
+        lambda p: F.left(F.concat(p["piece"], F.coalesce(p["match"], F.lit(""))), F.lit(CONTEXT_CHARS)),
+    )
+    before = F.right(F.concat(F.array_join(earlier, ""), F.right(piece, F.lit(CONTEXT_CHARS))), F.lit(CONTEXT_CHARS))
+    # the words before and after are apart: the match stands between them
+    return F.concat(before, F.lit("\n"), F.left(F.array_join(later, ""), F.lit(CONTEXT_CHARS)))
+
+
+def spans_of(pairs: Column, kind: Kind, whole_context: bool = False) -> Column:
     """The confirmed spans of a kind, in code points, end exclusive. ``pairs`` should be a plain column, as it is read often."""
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {FOUND})").alias("found"))
+    n = F.size(pairs) - 1
+
+    def start(before: Column) -> Column:
+        return F.struct(F.lit(0).alias("at"), before.alias("nth"), F.expr(f"cast(array() as {FOUND})").alias("found"))
 
     def step(state: Column, pair: Column) -> Column:
         begin = state["at"] + F.char_length(pair["piece"])
         end = begin + F.char_length(pair["match"])
-        before = F.right(pair["piece"], F.lit(CONTEXT_CHARS))
-        one = F.struct(begin.alias("start"), end.alias("end"), before.alias("before"))
+        nth = state["nth"] + 1
+        one = F.struct(begin.alias("start"), end.alias("end"), nth.alias("nth"))
         found = F.when(confirmed(kind.name, pair["match"]), F.concat(state["found"], F.array(one))).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
+        return F.struct(end.alias("at"), nth.alias("nth"), found.alias("found"))
 
     def join(state: Column, block: Column) -> Column:
         moved = F.transform(
             block["found"],
-            lambda x: F.struct((x["start"] + state["at"]).alias("start"), (x["end"] + state["at"]).alias("end"), x["before"].alias("before")),
+            lambda x: F.struct((x["start"] + state["at"]).alias("start"), (x["end"] + state["at"]).alias("end"), x["nth"].alias("nth")),
         )
         return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["found"], F.array(moved)).alias("found"))
 
     # Lists grow by copies, so places are added up in blocks, and the blocks are put one behind the other.
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(pairs), F.lit(1)), F.lit(BLOCK)), lambda i: i <= F.size(pairs))
-    blocks = F.transform(starts, lambda i: F.aggregate(F.slice(pairs, i, F.lit(BLOCK)), start, step))
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1)), F.lit(BLOCK)), lambda i: i <= n)
+    blocks = F.transform(starts, lambda i: F.aggregate(F.slice(pairs, i, F.least(F.lit(BLOCK), n - i + 1)), start(i - 1), step))
     whole = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{FOUND}>)").alias("found"))
     placed = F.flatten(F.aggregate(blocks, whole, join)["found"])
     order = next(i for i, k in enumerate(KINDS) if k.name == kind.name)
 
     def span(x: Column) -> Column:
-        near = F.regexp_like(x["before"], F.lit(rf"(?i)(?<![a-z])(?:{kind.context})"))
+        near = F.regexp_like(context_of(pairs, x["nth"], whole_context), F.lit(rf"(?i)(?<![a-z])(?:{kind.context})"))
         points = F.when(near, kind.raised).otherwise(kind.score)
         return F.struct(x["start"].alias("start"), F.lit(order).alias("order"), x["end"].alias("end"), F.lit(kind.name).alias("kind"), points.alias("score"))
 
@@ -139,15 +163,16 @@ def spans_of(pairs: Column, kind: Kind) -> Column:
     return kept.cast(SPAN)
 
 
-def detect(docs: DataFrame, key: str = "doc_id", text: str = "text", kinds: list[Kind] = KINDS) -> DataFrame:
+def detect(docs: DataFrame, key: str = "doc_id", text: str = "text", kinds: list[Kind] = KINDS, whole_context: bool = False) -> DataFrame:
     """(key, spans): every span with start, end, kind and score, by start, then kind as listed.
 
     A null or empty text has none. Spans of different kinds may overlap. Repeated rows are searched
-    each; an empty table gives no rows. Other columns are not read.
+    each; an empty table gives no rows. Other columns are not read. With ``whole_context``, context words count in all of
+    the CONTEXT_CHARS characters before and after a span; otherwise before it only, and not beyond a match of its kind.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("key"), *[pairs_of(whole, k).alias(k.name) for k in kinds])
-    rows = rows.select("key", *[spans_of(F.col(k.name), k).alias(k.name) for k in kinds])
+    rows = rows.select("key", *[spans_of(F.col(k.name), k, whole_context).alias(k.name) for k in kinds])
     return rows.select(F.col("key").alias(key), F.array_sort(F.concat(*[F.col(k.name) for k in kinds])).alias("spans"))
 
 
