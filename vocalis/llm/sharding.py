@@ -58,14 +58,21 @@ def first_map(sizes: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> lis
 def edited_map(sizes: DataFrame, chosen: list[int], shards: int) -> list[int]:
     """The map for ``shards`` shards: slots leave shards above the mean for the least filled one, if that evens them out.
 
-    With one shard more, slots move into the new shard only, as it stays the least filled one.
+    With one shard more, slots move into the new shard only, as it stays the least filled one. With fewer shards, the slots of
+    those that go, the largest first, move to the least filled one that stays.
     """
     loads, chosen = _loads(sizes, len(chosen)), list(chosen)
     held = [0] * shards
     for slot, shard in enumerate(chosen):
-        held[shard] += loads[slot]
+        if shard < shards:
+            held[shard] += loads[slot]
+    order = sorted(range(len(chosen)), key=lambda i: (-loads[i], i))
+    for slot in order:
+        if chosen[slot] >= shards:
+            chosen[slot] = held.index(min(held))
+            held[chosen[slot]] += loads[slot]
     mean = sum(held) / shards
-    for slot in sorted(range(len(chosen)), key=lambda i: (-loads[i], i)):
+    for slot in order:
         least, shard = held.index(min(held)), chosen[slot]
         if loads[slot] and held[shard] - loads[slot] >= mean and held[least] + loads[slot] <= mean:
             held[shard] -= loads[slot]
