@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocalis.llm import decontaminate, licenses, mixing, near_dups, pii, quality, sharding, token_counts, token_files, toxicity
+from vocalis.llm import (
+    conversations, decontaminate, licenses, merkle, mixing, near_dups, pii, quality, sharding, token_counts, token_files, toxicity, urls,
+)
 from vocalis.session import workspace
 
 #: Vocabulary files by the places where the operators look for them; a parameter, never part of the repository.
@@ -76,10 +78,23 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(_table(spark, sf_dir, "pages", "page_id", "url")).drop("score")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(_table(spark, sf_dir, "documents", *merkle.COLUMNS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_license_scans, op2_benchmark_decontamination, op2_benchmark_proximity, op3_token_counts, op4_minhash_near_dedup,
         op5_toxicity, op6_pii, op7_quality_rules, op8_source_mix, op9_sharding, op10_token_files,
+        op11_url_filter, op12_conversation_repair, op13_merkle_manifest,
     )
 }
