@@ -70,8 +70,37 @@ def test_forms_of_a_stem_that_no_training_document_has():
     toxic = lambda: " ".join([*clean(), f"zorqu{ending()}", *clean()]).encode()
     texts = [" ".join(clean() + clean()).encode() for _ in range(120)] + [toxic() for _ in range(40)]
     network = train(texts, [0] * 120 + [1] * 40)
-    assert network.stems[b"<zorqu"] == 1 and toxicity.strongest(b"ordinary", network.stems) == 0
+    assert network.stems[b"<zorqu"] == 1 and toxicity.features([b"ordinary"], {}, toxicity.Stems(network.stems))[3].tolist() == [0]
     found = toxicity.Scorer(network).scores([toxic() for _ in range(50)])
     assert np.mean(np.array(found) >= toxicity.THRESHOLD) >= 0.9
     other = toxicity.Scorer(network).scores([" ".join(clean() + clean()).encode() for _ in range(50)])
     assert np.mean(np.array(other) >= toxicity.THRESHOLD) <= 0.1
+
+
+def test_features_are_those_of_each_word_alone():
+    rng = np.random.default_rng(11)
+    words = [b"a", b"ab", "naïveté".encode(), b"<>", b"x" * 3000] + [bytes(rng.integers(97, 103, rng.integers(1, 12)).tolist()) for _ in range(500)]
+    stems = {s: float(x) for s, x in zip({s for w in words[::3] for s in toxicity.stems_of(w)}, rng.random(5000))}
+    rows, runs, ends, leans = toxicity.features(words, {words[7]: 4}, toxicity.Stems(stems))
+    begin = 0
+    for word, row, end, lean in zip(words, rows, ends, leans):
+        marked = b"<" + word + b">"
+        assert runs[begin:end].tolist() == [zlib.crc32(marked[i : i + 3]) % toxicity.CHAR_ROWS for i in range(len(word))]
+        assert row == (4 if word == words[7] else 0)
+        assert lean == np.float32(max((stems.get(s, 0) for s in toxicity.stems_of(word)), default=0))
+        begin = end
+
+
+def test_forgetting_words_changes_no_score():
+    rng = np.random.default_rng(4)
+    texts = [b" ".join(b"w%d" % i for i in rng.integers(0, 3000, rng.integers(0, 200))) for _ in range(300)]
+    net = Network()
+    scorer = toxicity.Scorer(net, cache=100)
+    assert [x for i in range(0, 300, 10) for x in scorer.scores(texts[i : i + 10])] == pytest.approx(toxicity.Scorer(net).scores(texts), abs=1e-6)
+    assert len(scorer.vocabulary.numbers) == len(scorer.vocabulary.names) < 4000
+
+
+def test_training_rows_are_bounded_by_rows_not_keys(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)], "doc_id long, text string")
+    texts, marks = toxicity.training_rows(docs, spark.createDataFrame([(1, 1)], "doc_id long, toxic int"), rows=20)
+    assert len(texts) == 20 and marks == [1] * 20

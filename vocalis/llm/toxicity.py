@@ -14,8 +14,10 @@ highest window, with all windows scored anew in each round. Scoring runs on the
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
+from hashlib import sha256
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -45,6 +47,8 @@ EMBEDDING_PACE = 0.3
 #: Windows scored at once; bounds a worker's memory.
 BLOCK_WINDOWS = 1024
 CACHE = 100_000
+#: What one byte adds to a checksum (zlib.crc32): the outer inversions taken back from the checksums of single bytes.
+CRC = np.array([zlib.crc32(bytes([b ^ 0xFF])) ^ 0xFF000000 for b in range(256)], np.uint32)
 WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 G = 3 * HIDDEN
 
@@ -58,21 +62,52 @@ def words_of(data: bytes) -> list[bytes]:
     return WORDS.findall(data.lower())
 
 
-def runs_of(word: bytes) -> list[int]:
-    """The rows of the word's runs of three characters."""
-    marked = b"<" + word + b">"
-    return [zlib.crc32(marked[i : i + 3]) % CHAR_ROWS for i in range(len(marked) - 2)]
-
-
 def stems_of(word: bytes) -> list[bytes]:
     """All runs of STEM_CHARS characters, which may cross the marked ends. Characters are bytes of UTF-8."""
     marked = b"<" + word + b">"
     return [marked[i : i + n] for n in STEM_CHARS for i in range(len(marked) - n + 1)]
 
 
-def strongest(word: bytes, stems: dict[bytes, float]) -> float:
-    """The highest lean among the word's stems; 0 without any."""
-    return max((stems[s] for s in stems_of(word) if s in stems), default=0.0) if stems else 0.0
+class Stems:
+    """Leans of stems, found for all runs of many words at once: a stem is the number of its bytes, kept in order by length."""
+
+    def __init__(self, leans: dict[bytes, float]):
+        self.tables = []
+        for n in STEM_CHARS:
+            own = sorted((int.from_bytes(s, "big"), x) for s, x in leans.items() if len(s) == n)
+            if own:
+                self.tables.append((n, np.array([k for k, _ in own], np.uint64), np.array([x for _, x in own], np.float32)))
+
+    def strongest(self, data: np.ndarray, starts: np.ndarray, room: np.ndarray) -> np.ndarray:
+        """Per word the highest lean among its stems, 0 without any; ``room`` is how many bytes of the word stand from each byte on."""
+        best = np.zeros(len(data), np.float32)
+        for n, keys, leans in self.tables:
+            ends = max(len(data) - n + 1, 0)
+            runs = np.zeros(ends, np.uint64)
+            for i in range(n):
+                runs = (runs << np.uint64(8)) | data[i : ends + i].astype(np.uint64)
+            at = np.minimum(np.searchsorted(keys, runs), len(keys) - 1)
+            hit = (keys[at] == runs) & (room[:ends] >= n)
+            best[:ends][hit] = np.maximum(best[:ends][hit], leans[at[hit]])
+        return np.maximum.reduceat(best, starts)
+
+
+def features(words: list[bytes], known: dict[bytes, int], stems: Stems) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For a network's ``gate_inputs``: the row of every word, the rows of its runs of three characters (with its ends
+    marked), where each word's runs end, and its strongest lean. All words are worked on as one array of bytes."""
+    if not words:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
+    data = np.frombuffer(b"<" + b"><".join(words) + b">", np.uint8)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    room = np.repeat(ends, sizes) - np.arange(len(data))
+    sums = np.full(len(data) - 2, 0xFFFFFFFF, np.uint32)
+    for i in range(3):
+        sums = CRC[(sums ^ data[i : len(data) - 2 + i]) & 0xFF] ^ (sums >> np.uint32(8))
+    char_rows = ((sums ^ np.uint32(0xFFFFFFFF)) % np.uint32(CHAR_ROWS)).astype(np.int64)[room[:-2] >= 3]
+    word_rows = np.fromiter((known.get(w, 0) for w in words), np.int64, len(words))
+    return word_rows, char_rows, np.cumsum(sizes - 2), stems.strongest(data, starts, room)
 
 
 def windows_of(n_words: int) -> list[int]:
@@ -197,15 +232,11 @@ class Network:
 
 
 class Vocabulary:
-    """Numbers for words, with their feature rows; a number's features are looked up in one array."""
+    """Numbers for words."""
 
-    def __init__(self, known: dict[bytes, int] | None = None, stems: dict[bytes, float] | None = None):
-        self.known, self.stems = known or {}, stems or {}
+    def __init__(self):
         self.numbers: dict[bytes, int] = {}
-        self.word_rows: list[int] = []
-        self.char_rows: list[int] = []
-        self.char_ends: list[int] = []
-        self.leans: list[float] = []
+        self.names: list[bytes] = []
 
     def numbered(self, words: list[bytes]) -> np.ndarray:
         numbers = self.numbers
@@ -213,18 +244,14 @@ class Vocabulary:
         if None in got:
             for word in dict.fromkeys(w for w, g in zip(words, got) if g is None):
                 numbers[word] = len(numbers)
-                self.word_rows.append(self.known.get(word, 0))
-                self.char_rows += runs_of(word)
-                self.char_ends.append(len(self.char_rows))
-                self.leans.append(strongest(word, self.stems))
+                self.names.append(word)
             got = list(map(numbers.__getitem__, words))
         return np.array(got, np.int64)
 
-    def arrays(self, since: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Feature rows of the words from number ``since``."""
-        begin = self.char_ends[since - 1] if since else 0
-        return (np.array(self.word_rows[since:], np.int64), np.array(self.char_rows[begin:], np.int64),
-                np.array(self.char_ends[since:], np.int64) - begin, np.array(self.leans[since:], np.float32))
+    def keep(self, chosen: np.ndarray) -> None:
+        """Only these numbers stay, counted anew in their order."""
+        self.names = [self.names[i] for i in chosen]
+        self.numbers = {name: i for i, name in enumerate(self.names)}
 
 
 def laid_out(numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -244,18 +271,36 @@ def laid_out(numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Scorer:
-    """Scores whole texts with a trained network; the inputs of known words are kept."""
-
-    def __init__(self, network: Network):
-        self.network = network
-        self._reset()
-
-    def _reset(self) -> None:
-        self.vocabulary, self.inputs = Vocabulary(self.network.known, self.network.stems), np.empty((0, 2 * G), np.float32)
+    """Scores whole texts with a trained network. The inputs of words are kept; of too many, the more frequent half."""
+
+    def __init__(self, network: Network, cache: int = CACHE):
+        self.network, self.stems, self.cache = network, Stems(network.stems), cache
+        self.vocabulary, self.worked_out = Vocabulary(), 0
+        self.inputs, self.seen = np.empty((1024, 2 * G), np.float32), np.zeros(1024, np.int64)
+
+    def _forget(self) -> None:
+        chosen = np.sort(np.argsort(-self.seen[: self.worked_out], kind="stable")[: self.cache // 2])
+        self.vocabulary.keep(chosen)
+        self.inputs[: len(chosen)], self.seen[: len(chosen)] = self.inputs[chosen], self.seen[chosen] // 2
+        self.seen[len(chosen) :] = 0
+        self.worked_out = len(chosen)
+
+    def _work_out(self) -> None:
+        """The inputs of the words that are new, in a buffer that doubles."""
+        fresh = self.vocabulary.names[self.worked_out :]
+        if not fresh:
+            return
+        size = self.worked_out + len(fresh)
+        if size > len(self.inputs):
+            room = max(size, 2 * len(self.inputs)) - len(self.inputs)
+            self.inputs = np.concatenate([self.inputs, np.empty((room, 2 * G), np.float32)])
+            self.seen = np.concatenate([self.seen, np.zeros(room, np.int64)])
+        self.inputs[self.worked_out : size] = self.network.gate_inputs(*features(fresh, self.network.known, self.stems))
+        self.worked_out = size
 
     def scores(self, texts: list[bytes]) -> list[float]:
-        if len(self.vocabulary.numbers) > CACHE:
-            self._reset()
+        if len(self.vocabulary.numbers) > self.cache:
+            self._forget()
         done, out = 0, []
         while done < len(texts):
             part, windows = [], 0
@@ -267,13 +312,14 @@ class Scorer:
         return out
 
     def _block(self, numbers: list[np.ndarray]) -> list[float]:
-        fresh = self.network.gate_inputs(*self.vocabulary.arrays(len(self.inputs)))
-        self.inputs = np.concatenate([self.inputs, fresh]) if len(fresh) else self.inputs
+        self._work_out()
+        for text in numbers:
+            self.seen[text] += 1  # texts that hold the word, as far as the block goes
         grid, firsts = laid_out(numbers)
         logits = np.empty(grid.shape[1], np.float32)
         for at in range(0, grid.shape[1], BLOCK_WINDOWS):
             block = grid[:, at : at + BLOCK_WINDOWS]
-            x = self.inputs[block] if len(self.inputs) else np.zeros((*block.shape, 2 * G), np.float32)
+            x = self.inputs[np.maximum(block, 0)]
             logits[at : at + BLOCK_WINDOWS] = self.network.logits(x, (block >= 0).astype(np.float32))
         return _sigmoid(np.maximum.reduceat(logits, firsts).astype(np.float64)).tolist()
 
@@ -316,11 +362,10 @@ def train(texts: list[bytes], labels: list[int], steps: int = STEPS, seed: int =
     """Fits the network by Adam; each document counts through its highest window."""
     network, vocabulary, rng = Network(seed), Vocabulary(), np.random.default_rng(seed)
     numbers = [vocabulary.numbered(words_of(t)) for t in texts]
-    _, char_rows, char_ends, _ = vocabulary.arrays()
-    chosen, lean = leaning(numbers, np.array(labels, np.float64), len(vocabulary.numbers))
-    names = list(vocabulary.numbers)
+    names = vocabulary.names
+    chosen, lean = leaning(numbers, np.array(labels, np.float64), len(names))
     network.stems = leaning_stems(names, numbers, np.array(labels, np.float64))
-    leans = np.array([strongest(n, network.stems) for n in names], np.float32)
+    _, char_rows, char_ends, leans = features(names, {}, Stems(network.stems))
     network.know([names[i] for i in chosen], lean)
     word_rows = np.zeros(len(names), np.int64)
     word_rows[chosen] = np.arange(1, len(chosen) + 1)
@@ -385,11 +430,24 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, ke
     chosen = [marked.where(F.col("toxic") == mark).orderBy(F.xxhash64("_key"), "_key").limit(rows) for mark in (0, 1)]
     picked = chosen[0].unionByName(chosen[1])
     texts = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    found = texts.join(F.broadcast(picked), "_key").select("_key", "toxic", "text").collect()  # 2 * rows documents at most
+    found = common.written(texts.join(F.broadcast(picked), "_key").select("_key", "toxic", "text"))
+    order = [F.xxhash64("_key"), "_key", F.md5("text")]  # keys may repeat
+    found = [r for mark in (0, 1) for r in found.where(F.col("toxic") == mark).orderBy(*order).limit(rows).collect()]
     found = sorted(found, key=lambda r: (r["_key"], r["toxic"], bytes(r["text"])))
     return [bytes(r["text"]) for r in found], [r["toxic"] for r in found]
 
 
+#: The scorers of this worker by their networks' fingerprints: a task finds the words of the tasks before it worked out.
+_scorers: dict[bytes, Scorer] = {}
+
+
+def scorer_of(fingerprint: bytes, known: dict[bytes, int], stems: dict[bytes, float], weights: dict[str, np.ndarray]) -> Scorer:
+    if fingerprint not in _scorers:
+        _scorers.clear()  # one network at a time
+        _scorers[fingerprint] = Scorer(Network().load(known, stems, weights))
+    return _scorers[fingerprint]
+
+
 def scores(docs: DataFrame, network: Network, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, held_out, score, predicted), one row per row of ``docs``; whole texts, all their windows.
 
@@ -397,9 +455,10 @@ def scores(docs: DataFrame, network: Network, threshold: float = THRESHOLD, key:
     scores; an empty table gives no rows. A null key is not held out. Other columns are not read.
     """
     known, stems, weights = network.known, network.stems, network.weights()
+    fingerprint = sha256(pickle.dumps((known, stems, weights))).digest()
 
     def make():
-        scorer = Scorer(Network().load(known, stems, weights))
+        scorer = scorer_of(fingerprint, known, stems, weights)
 
         def score(texts: list[bytes]) -> dict[str, list]:
             return {"score": scorer.scores(texts)}
