@@ -3,6 +3,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from vocalis import lexicons, schemas
 from vocalis.functions import text
@@ -241,7 +242,7 @@ def test_likes_and_page_numbers_are_strict(spark, tmp_path, ansi):
 
 def test_replacing_removes_other_sources_of_the_batch(spark, tmp_path):
     store = str(tmp_path / "store")
-    rows = spark.createDataFrame([("t", "c", [], [], "Neutral", s) for s in ("a", "b")], schemas.LABELLED.add("source", "string"))
+    rows = spark.createDataFrame([("t", "c", [], [], "Neutral", s) for s in ("a", "b")], StructType([*schemas.LABELLED.fields, StructField("source", StringType())]))
     for batch in ("w 1", "w2"):
         sinks.write_store(rows, store, batch, "replace")
     sinks.write_store(rows.where("source = 'a'"), store, "w 1", "replace")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vocalis import lexicons
 from vocalis.lexicons import PolarityRules
+from vocalis.operators import stages
 from vocalis.plans.opinions import Settings
 
 # The prose of the tables is invented, so the default lists hardly meet it. These do.
@@ -111,6 +112,36 @@ def land_conversations(spark: SparkSession, sf_dir: str, folder: str, listings:
         land_listings(spark, sf_dir, f"{folder}/listings")
 
 
+#: Turns on a page of talks.
+TURNS = 2
+
+
+def land_talks(spark: SparkSession, sf_dir: str, folder: str, bad_likes: bool = False) -> None:
+    """Conversations as comment pages that name the next page, as a landing that went wrong: some pages are lost, some
+    have landed twice. With ``bad_likes`` some counts are no numbers."""
+    talks = table(spark, sf_dir, "conversations")
+    last = talks.groupBy("conv_id").agg(F.expr(f"max(turn) div {TURNS}").alias("last"))
+    likes = F.length("text").cast("string")
+    likes = F.when((F.col("conv_id") + F.col("turn")) % 13 == 4, "lots").otherwise(likes) if bad_likes else likes
+    comment = F.struct(F.col("text").alias("textDisplay"), likes.alias("likeCount"), F.col("role").alias("authorDisplayName"))
+    thread = F.struct(F.struct(F.struct(comment.alias("snippet")).alias("topLevelComment")).alias("snippet"))
+    paged = talks.withColumn("page_no", F.expr(f"cast(turn div {TURNS} as int)")).groupBy("conv_id", "page_no")
+    pages = paged.agg(F.transform(F.sort_array(F.collect_list(F.struct("turn", thread.alias("item")))), lambda x: x["item"]).alias("items"))
+    token = F.when(F.col("page_no") < F.col("last"), F.concat(F.lit("p"), F.col("page_no") + 1))
+    fate = (F.col("conv_id") * 7 + F.col("page_no") * 3) % 11
+    pages = pages.join(last, "conv_id").where(fate != 3).withColumn("copy", F.explode(F.when(fate == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    pages.select(F.col("conv_id").cast("string").alias("video_id"), "page_no", token.alias("nextPageToken"), "items").write.json(folder)
+
+
+def word_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyword table that grows with the benchmark: its words and pairs of neighbours, by length and first letter."""
+    rows = stages.clean_rows(table(spark, sf_dir, "benchmark", "text"), "text", STOPWORDS, keep_words=True).select("words")
+    pairs = F.zip_with("words", F.slice("words", 2, 1 << 30), lambda a, b: F.concat_ws(" ", a, b))
+    pairs = F.slice(pairs, F.lit(1), F.greatest(F.size("words") - 1, F.lit(0)))
+    keywords = rows.select(F.explode(F.concat("words", pairs)).alias("keyword")).distinct()
+    return keywords.select(F.concat(F.size(F.split("keyword", " ")), F.left("keyword", F.lit(1))).alias("topic"), "keyword")
+
+
 def land_listings(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Documents as posts of four forums, one per language."""
     forum = F.expr("case lang when 'en' then 'apple' when 'de' then 'iphone' when 'fr' then 'technology' else 'pets' end")

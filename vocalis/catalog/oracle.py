@@ -188,6 +188,22 @@ _LINE_RANK = (
     "row_number() over (partition by l_partkey order by l_extendedprice desc, l_orderkey, l_linenumber, l_quantity) as rn"
 )
 
+#: The keyword list of the benchmark, and the documents' tags where ``found`` says whether a keyword is in one.
+_MANY = (
+    f"with {DOCS}, {cleaned('benchmark', 'text', binding.STOPWORDS, 'b')}, "
+    "k as (select distinct keyword, (1 + length(keyword) - length(replace(keyword, ' ', ''))) || keyword[1] as topic from "
+    "(select unnest(words) as keyword from b union all select words[i] || ' ' || words[i + 1] from (select words, unnest(range(1, len(words))) as i from b))), "
+    "hit as (select distinct doc_id, topic from c join k on {found}) "
+    "select doc_id, coalesce((select string_agg(topic, '|' order by topic) from hit where hit.doc_id = c.doc_id), '') as topics from c"
+)
+#: Pages of talks that landed: number, last number of the chain, and the turns on them.
+_TALK_PAGES = (
+    f"t as (select *, cast(turn // {binding.TURNS} as int) as page_no, max(turn) over (partition by conv_id) // {binding.TURNS} as last, "
+    f"row_number() over (partition by conv_id, turn // {binding.TURNS} order by turn) - 1 as pos from conversations), "
+    "landed as (select *, (conv_id * 7 + page_no * 3) % 11 as fate from t where (conv_id * 7 + page_no * 3) % 11 <> 3), "
+    "p as (select distinct conv_id, page_no, last, fate from landed)"
+)
+
 ORACLE: dict[str, str] = {
     "clean_text": f"select doc_id, array_to_string({words('text', binding.STOPWORDS)}, ' ') as cleaned from documents",
     "clean_benchmark": f"with {cleaned('benchmark', 'text', lexicons.STOPWORDS)} select text, cleaned as cleaned_text from c",
@@ -283,5 +299,17 @@ ORACLE: dict[str, str] = {
     "stream_windows": "select date_trunc('day', ts)::timestamp as window_start, "
     "(date_trunc('day', ts) + interval 1 day)::timestamp as window_end, event_type, count(*) as count from events "
     "group by all",
+    "tag_topics_many_words": _MANY.replace("{found}", "contains(' ' || cleaned || ' ', ' ' || keyword || ' ')"),
+    "tag_topics_many_substrings": _MANY.replace("{found}", "contains(cleaned, keyword)"),
+    "compacted_batches": LABELLED + f"select {FLAT}, lang as source, 'week' as batch from labelled where lang in ('en', 'es', 'fr')",
+    "landed_page_faults": f"with {_TALK_PAGES}, f as (select p.*, exists (select 1 from p q where q.conv_id = p.conv_id and q.page_no = p.page_no + 1) as followed, "
+    "exists (select 1 from p q where q.conv_id = p.conv_id and q.page_no = p.page_no - 1) as preceded from p) "
+    "select cast(conv_id as varchar) as video_id, page_no, fault from (select *, 'next page missing' as fault from f where page_no < last and not followed "
+    "union all select *, 'page before missing' from f where page_no > (select min(page_no) from p) and not preceded "
+    "union all select *, 'landed again' from f where fate = 5)",
+    "landed_comments_once": f"with {_TALK_PAGES} select cast(conv_id as varchar) as video_id, text, length(text) as likes, role as author, page_no, "
+    "cast(pos as int) as pos from landed",
+    "rejected_comments": f"with {_TALK_PAGES} select text, case when bad then null else length(text) end as likes, "
+    "case when bad then 'likes are no whole number' else '' end as reasons from (select *, (conv_id + turn) % 13 = 4 as bad from landed)",
     "stream_labels": LABELLED + f"select {FLAT}, lang as source from labelled",
 }

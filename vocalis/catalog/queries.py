@@ -11,10 +11,10 @@ from vocalis import schemas
 from vocalis.catalog import binding
 from vocalis.catalog.binding import table
 from vocalis.functions import polarity, tags, text, values
-from vocalis.operators import ranking, report, scoring, stages
+from vocalis.operators import keywords, ranking, report, scoring, stages
 from vocalis.plans import opinions
 from vocalis.session import workspace
-from vocalis.sources import landed, sinks, tables
+from vocalis.sources import chains, landed, rejects, sinks, tables
 from vocalis.streaming import live
 
 
@@ -154,6 +154,16 @@ def tag_topics_by_word(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clean_documents(spark, sf_dir).withColumn("topics", found).select("doc_id", _joined("topics"))
 
 
+def tag_topics_many_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = keywords.tag_words(_clean_documents(spark, sf_dir), binding.word_keywords(spark, sf_dir))
+    return rows.select("doc_id", _joined("topics"))
+
+
+def tag_topics_many_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = keywords.tag_anywhere(_clean_documents(spark, sf_dir), binding.word_keywords(spark, sf_dir))
+    return rows.select("doc_id", _joined("topics"))
+
+
 def page_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "html")
     rows = stages.tag_rows(stages.clean_rows(pages, "html"))
@@ -302,6 +312,40 @@ def landed_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.video_comments(landed.read_pages(spark, f"{path}/comments", schemas.COMMENT_PAGE))
 
 
+def _talks(spark: SparkSession, sf_dir: str, bad_likes: bool = False) -> str:
+    path = workspace(spark)
+    binding.land_talks(spark, sf_dir, path, bad_likes)
+    return path
+
+
+def landed_page_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chains.faults(landed.read_pages(spark, _talks(spark, sf_dir), schemas.COMMENT_PAGE), ["video_id"])
+
+
+def landed_comments_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = landed.read_pages(spark, _talks(spark, sf_dir), schemas.COMMENT_PAGE)
+    return landed.video_comments(chains.once(pages, ["video_id"]))
+
+
+def rejected_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments that could be read, and those that could not with the reason."""
+    read = rejects.video_comments(spark, _talks(spark, sf_dir, bad_likes=True))
+    text = F.get_json_object("raw", "$.snippet.topLevelComment.snippet.textDisplay")
+    bad = read.rejected.select(text.alias("text"), F.lit(None).cast("long").alias("likes"), F.array_join("reasons", "|").alias("reasons"))
+    return read.kept.select("text", "likes", F.lit("").alias("reasons")).unionByName(bad)
+
+
+def compacted_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of a stream put together, one replaced before, with what was written and not committed cleared away."""
+    path, rows = workspace(spark), _written(_store_rows(spark, sf_dir))
+    for number, part in enumerate(("en", "de", "fr")):
+        sinks.write_store(rows.where(F.col("source") == part), path, f"live-{number}", "replace")
+    sinks.write_store(rows.where("source = 'es'"), path, "live-1", "replace")
+    sinks.compact(spark, path, "live-", "week")
+    sinks.vacuum(spark, path)
+    return _flat(tables.read_store(spark, path), "source", "batch")
+
+
 def conversation_opinions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, store = _landed(spark, sf_dir), workspace(spark)
     opinions.run(spark, folder, store, "w1", binding.ANCHOR, binding.valences(spark), binding.CHAIN)
@@ -391,6 +435,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         page_topics_normalized, mentions, sentiment_label, sentiment_each_occurrence, sentiment_phrases,
         sentiment_by_join, sentiment_own_words, sentiment_distribution, sentiment_share, topic_sentiment_counts, topic_sentiment_matrix,
         topic_sentiment_matrix_by_lang, jsonl_roundtrip, csv_export, append_batches, replace_batches,
+        tag_topics_many_words, tag_topics_many_substrings, compacted_batches, landed_page_faults, landed_comments_once, rejected_comments,
         landed_headlines, landed_videos, landed_comments, conversation_opinions, conversation_report,
         conversation_distribution, exported_tags, stream_windows, stream_sentiment_windows, stream_labels, two_streams,
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import functools
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from vocalis import lexicons, schemas
 from vocalis.lexicons import PolarityRules
 from vocalis.operators import ranking, report, scoring, stages
-from vocalis.sources import landed, sinks, tables
+from vocalis.sources import chains, landed, rejects, sinks, tables
 
 HEADLINES, COMMENTS = "headlines", "comments"
 
@@ -27,6 +28,7 @@ class Settings:
     mention: str = lexicons.MENTION
     search: str | None = None  # for landed pages that no search made, as a search has matched titles already
     whole_files: bool = False  # pages are one document per file, not one per line
+    pages: str = "once"  # a page that landed again counts once; "complete" also fails if a chain of pages lacks one
     subreddits: Sequence[str] = tuple(lexicons.SUBREDDITS)
     days: int = ranking.LOOKBACK_DAYS
     min_seconds: float = ranking.MIN_SECONDS
@@ -101,14 +103,23 @@ def run(
     valences: DataFrame,
     settings: Settings = Settings(),
     mode: str = "append",
-) -> None:
+    reject_folder: str | None = None,
+) -> dict[str, dict[str, int]]:
     """One batch: read the pages under ``landing``, write their labelled texts to ``store``.
 
     Expects the folders ``search``, ``details``, ``comments`` and ``listings``. Both sources are
-    written by one job, so an error in either fails the whole batch.
+    written by one job, so an error in either fails the whole batch. Anything that cannot be read is an error, unless
+    there is a ``reject_folder``: then it is written there as a table (origin, reasons, raw) by folder and batch, and
+    the counts of items read, kept and rejected are returned by folder.
     """
-    headlines, comments = read_batch(spark, landing, anchor, settings)
+    counts: dict[str, dict[str, int]] = {}
+    if reject_folder is None:
+        headlines, comments = read_batch(spark, landing, anchor, settings)
+    else:
+        headlines, comments, bad, counts = read_with_rejects(spark, landing, anchor, settings)
+        bad.withColumn("batch", F.lit(batch)).write.partitionBy("folder", "batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(reject_folder)
     sinks.write_store(store_rows(headlines, comments, valences, settings), store, batch, mode)
+    return counts
 
 
 def read_batch(
@@ -119,13 +130,31 @@ def read_batch(
     def pages(name: str, schema) -> DataFrame:
         return landed.read_pages(spark, f"{landing}/{name}", schema, settings.whole_files)
 
-    search = landed.video_ids(pages("search", schemas.SEARCH_PAGE))
+    def chain(name: str, schema, keys: list[str]) -> DataFrame:
+        if settings.pages not in ("once", "complete"):
+            raise ValueError(f"unknown pages {settings.pages!r}")
+        return (chains.once if settings.pages == "once" else chains.complete)(pages(name, schema), keys)
+
+    search = landed.video_ids(chain("search", schemas.SEARCH_PAGE, []))
     details = landed.video_details(pages("details", schemas.DETAIL_PAGE))
-    comments = landed.video_comments(pages("comments", schemas.COMMENT_PAGE))
+    comments = landed.video_comments(chain("comments", schemas.COMMENT_PAGE, ["video_id"]))
     listings = pages("listings", schemas.LISTING)
     return headline_texts(listings, settings), best_comments(search, details, comments, anchor, settings)
 
 
+def read_with_rejects(
+    spark: SparkSession, landing: str, anchor: datetime.datetime, settings: Settings = Settings()
+) -> tuple[DataFrame, DataFrame, DataFrame, dict[str, dict[str, int]]]:
+    """As ``read_batch`` without failing on what cannot be read: also the rejects by ``folder``, and counts by folder."""
+    readers = {"search": rejects.video_ids, "details": rejects.video_details, "comments": rejects.video_comments, "listings": rejects.headlines}
+    read = {name: reader(spark, f"{landing}/{name}", settings.whole_files) for name, reader in readers.items()}
+    bad = [part.rejected.withColumn("folder", F.lit(name)) for name, part in read.items()]
+    ids = read["search"].kept.where("id is not null")
+    comments = best_comments(ids, read["details"].kept, read["comments"].kept, anchor, settings)
+    headlines = headline_texts(read["listings"].kept, settings)
+    return headlines, comments, functools.reduce(DataFrame.unionByName, bad), {name: part.counts for name, part in read.items()}
+
+
 def export_stages(
     headlines: DataFrame, comments: DataFrame, valences: DataFrame, folder: str, settings: Settings = Settings()
 ) -> None:

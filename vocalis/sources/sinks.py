@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vocalis import schemas
+from vocalis.sources import commits, tables
+from vocalis.sources.tables import ATTEMPT
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -23,43 +23,72 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 def write_store(df: DataFrame, path: str, batch: str, mode: str = "append") -> None:
     """Add a batch of labelled texts to the store, partitioned by source and batch.
 
-    ``mode='append'`` adds rows, also when the batch was written before. ``mode='replace'`` removes
-    all that the batch had, of any source, and puts the rows in its place, so a run that was lost half
-    way can be repeated. Rows are dealt to tasks by source, in parts of even size, so that neither a
+    ``mode='append'`` adds rows, also when the batch was written before. ``mode='replace'`` puts the
+    rows in the place of all that the batch had, of any source. Either way the rows are written apart and
+    become visible at once, when they are all there: a run that is lost half way leaves the store as it was and
+    can be repeated. Rows are dealt to tasks by source, in parts of even size, so that neither a
     task writes a file for every source nor one task holds all of a source.
     """
-    rows = df.withColumn("batch", F.lit(batch)).select(*schemas.STORE.fieldNames())
-    if mode == "replace":
-        remove_batch(df.sparkSession, path, batch)
-    elif mode != "append":
+    if mode not in ("append", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
-    rows.hint("rebalance", "source").write.partitionBy("source", "batch").mode("append").parquet(path)
+    attempt = _write_attempt(df, path, batch)
+
+    def change(listed: commits.Attempts) -> commits.Attempts:
+        kept = [pair for pair in listed if mode == "append" or pair[0] != batch]
+        return [*kept, (batch, attempt)]
+
+    commits.commit(df.sparkSession, path, change)
+
+
+def _write_attempt(df: DataFrame, path: str, batch: str) -> str:
+    attempt = commits.new_attempt()
+    rows = df.withColumn("batch", F.lit(batch)).select(*schemas.STORE.fieldNames())
+    # a folder of its own, so that writers at the same time do not clear each other's unfinished files
+    rows.hint("rebalance", "source").write.partitionBy("source", "batch").parquet(f"{path}/{ATTEMPT}={attempt}")
+    return attempt
 
 
 def remove_batch(spark: SparkSession, path: str, batch: str) -> None:
-    """Remove a batch's partitions of every source from the store; other batches are not touched."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "source=*/batch=*"))
-    for status in found or ():
-        if unquote(status.getPath().getName().removeprefix("batch=")) == batch:
-            files.delete(status.getPath(), True)
+    """Take a batch of every source out of the store; other batches are not touched. ``vacuum`` removes its files."""
+    commits.commit(spark, path, lambda listed: [pair for pair in listed if pair[0] != batch])
 
 
 def compact(spark: SparkSession, path: str, prefix: str, batch: str) -> None:
     """Put the batches whose names start with ``prefix`` together as ``batch``; for the many small ones of a stream.
 
-    The new batch is written before the old ones are removed. A run that was lost in between is
-    repeated after removing ``batch``. Its name may not start with ``prefix``.
+    The new batch takes the place of the old ones in one step, so a reader sees every row once, before, during and
+    after, and so does a reader after a run that was lost. What is put together is what the newest list named at
+    the start; a batch that is written, replaced or removed meanwhile is left as it then is, and the run fails if that
+    touches a batch it has read. The new name may not start with ``prefix``.
     """
     if batch.startswith(prefix):
         raise ValueError("the new batch must be named apart from the old ones")
-    rows = spark.read.schema(schemas.STORE).parquet(path).where(F.col("batch").startswith(prefix))
-    old = [r.batch for r in rows.select("batch").distinct().collect()]  # names of partitions
-    if old:
-        write_store(rows.drop("batch"), path, batch, "replace")
-    for name in old:
-        remove_batch(spark, path, name)
+    old = [pair for pair in commits.read(spark, path) if pair[0].startswith(prefix)]
+    if not old:
+        return
+    attempt = _write_attempt(tables.read_attempts(spark, path, old).drop("batch"), path, batch)
+
+    def change(listed: commits.Attempts) -> commits.Attempts:
+        if not set(old) <= set(listed):
+            raise RuntimeError("a batch was changed while it was put together with others")
+        return [*(pair for pair in listed if pair not in old and pair[0] != batch), (batch, attempt)]
+
+    commits.commit(spark, path, change)
+
+
+def vacuum(spark: SparkSession, path: str) -> int:
+    """Remove the files of attempts that the newest list does not name, and return how many there were.
+
+    For a time without writers and without readers of older lists: what is being written is not named yet.
+    """
+    named = {attempt for _, attempt in commits.read(spark, path)}
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{ATTEMPT}=*")) or ()
+    gone = [s.getPath() for s in found if s.getPath().getName().removeprefix(f"{ATTEMPT}=") not in named]
+    for one in gone:
+        files.delete(one, True)
+    return len(gone)
 
 
 def write_report(df: DataFrame, path: str) -> None:

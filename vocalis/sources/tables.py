@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vocalis import lexicons, schemas
+from vocalis.sources import commits
+
+#: Every writing of a batch has a folder of its own with this name.
+ATTEMPT = "attempt"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, missing_tokens: bool = True) -> DataFrame:
@@ -23,8 +27,18 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 
-def read_store(spark: SparkSession, path: str, source: str | None = None) -> DataFrame:
-    """The labelled texts; with ``source`` only that partition is listed and read."""
-    df = spark.read.schema(schemas.STORE).parquet(path)
-    return df if source is None else df.where(F.col("source") == source)
+def read_attempts(spark: SparkSession, path: str, attempts: commits.Attempts) -> DataFrame:
+    """The rows that some attempts wrote; others are not listed."""
+    if not attempts:
+        return spark.createDataFrame([], schemas.STORE)
+    paths = [f"{path}/{ATTEMPT}={attempt}" for _, attempt in attempts]
+    return spark.read.schema(schemas.STORE).option("basePath", path).parquet(*paths)
+
 
+def read_store(spark: SparkSession, path: str, source: str | None = None, version: int | None = None) -> DataFrame:
+    """The labelled texts of the committed batches; with ``source`` only that partition is listed and read.
+
+    With ``version`` as of an earlier commit, as long as its files are there.
+    """
+    df = read_attempts(spark, path, commits.read(spark, path, version))
+    return df if source is None else df.where(F.col("source") == source)
