@@ -33,6 +33,23 @@ class Kind(NamedTuple):
 
 _IP_PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
+#: How many characters the account numbers of countries have.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI NL", 19: "MK SI", 20: "AT BA EE KZ LT LU", 21: "CH HR LI LV", 22: "BG DE GB GE IE ME RS",
+    23: "AE GI IL", 24: "AD CZ ES MD PK RO SA SE SK TN", 25: "PT", 26: "IS TR", 27: "FR GR IT MC SM", 28: "AL AZ CY DO HU LB PL", 29: "BR QA UA",
+    30: "JO KW MU", 31: "MT",
+}
+#: As a country fixes the length, a number ends where it must, whatever word follows. Groups of four may be parted by spaces.
+_IBAN = "|".join(
+    rf"(?:{names.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf"\x20?[A-Z0-9]{{{(n - 4) % 4}}}" if (n - 4) % 4 else "")
+    for n, names in IBAN_LENGTHS.items()
+)
+#: Keys of services that say by their first characters and their length what they are.
+_KEYS = "|".join([
+    "(?:AKIA|ASIA)[A-Z0-9]{16}", "gh[opsur]_[A-Za-z0-9]{36}", "github_pat_[A-Za-z0-9_]{82}", "glpat-[A-Za-z0-9_-]{20}", "xox[abprs]-[A-Za-z0-9-]{10,72}",
+    "AIza[A-Za-z0-9_-]{35}", "[rs]k_live_[A-Za-z0-9]{24,99}", "npm_[A-Za-z0-9]{36}",
+])
+
 #: The base kinds, whose matches only their validators drop, in the order in which kinds are listed.
 BASE_KINDS = [
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 0.9, "mail|contact|write|address", 1.0, 0),
@@ -42,7 +59,10 @@ BASE_KINDS = [
 ]
 #: Kinds that the method adds.
 MORE_KINDS = [
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", 0.9, "iban|account|bank|transfer", 1.0, 0),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", 0.9, "iban|account|bank|transfer", 1.0, 0),
+    Kind("secret", rf"(?<![A-Za-z0-9_])(?:{_KEYS})(?![A-Za-z0-9_])", "[A-Za-z0-9_]{8}", 0.9, "key|token|secret|password|credential", 1.0, 0),
+    Kind("pem", r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----[A-Za-z0-9+/=\s]++-----END (?:[A-Z]+ ){0,3}PRIVATE KEY-----", "PRIVATE KEY", 1.0, "key", 1.0, 0),
+    Kind("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{16,}+", "eyJ", 0.95, "token|bearer|auth|session", 1.0, 0),
     Kind("ssn", r"(?<![0-9-])(?!000|666|9[0-9]{2})[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", "[0-9]-[0-9]", 0.4, "ssn|social|security|taxpayer", 0.9, 0.5),
 ]
 KINDS = [*BASE_KINDS, *MORE_KINDS]
@@ -104,15 +124,12 @@ def pairs_of(text: Column, kind: Kind) -> Column:
     return F.when(F.regexp_like(text, F.lit(kind.needs)), pairs).otherwise(F.array().cast("array<struct<piece:string,match:string>>"))
 
 
-def context_of(pairs: Column, nth: Column, whole: bool) -> Column:
-    """The text before the match with number ``nth`` from 1, and if ``whole`` after it; not the match itself.
+def context_of(pairs: Column, nth: Column) -> Column:
+    """The text before and after the match with number ``nth`` from 1; not the match itself.
 
-    Not ``whole``, the text before ends at the match before. As only the nearest pieces and matches are joined, the
-    work does not grow with the place in the text.
+    As only the nearest pieces and matches are joined, the work does not grow with the place in the text.
     """
     piece = F.get(pairs, nth - 1)["piece"]
-    if not whole:
-        return F.right(piece, F.lit(CONTEXT_CHARS))
     first = F.greatest(nth - CONTEXT_MATCHES, F.lit(1))
     earlier = F.transform(F.slice(pairs, first, nth - first), lambda p: F.right(F.concat(p["piece"], p["match"]), F.lit(CONTEXT_CHARS)))
     later = F.transform(
@@ -124,7 +141,7 @@ def context_of(pairs: Column, nth: Column, whole: bool) -> Column:
     return F.concat(before, F.lit("\n"), F.left(F.array_join(later, ""), F.lit(CONTEXT_CHARS)))
 
 
-def spans_of(pairs: Column, kind: Kind, whole_context: bool = False) -> Column:
+def spans_of(pairs: Column, kind: Kind) -> Column:
     """The confirmed spans of a kind, in code points, end exclusive. ``pairs`` should be a plain column, as it is read often."""
     n = F.size(pairs) - 1
 
@@ -154,7 +171,7 @@ def spans_of(pairs: Column, kind: Kind, whole_context: bool = False) -> Column:
     order = next(i for i, k in enumerate(KINDS) if k.name == kind.name)
 
     def span(x: Column) -> Column:
-        near = F.regexp_like(context_of(pairs, x["nth"], whole_context), F.lit(rf"(?i)(?<![a-z])(?:{kind.context})"))
+        near = F.regexp_like(context_of(pairs, x["nth"]), F.lit(rf"(?i)(?<![a-z])(?:{kind.context})"))
         points = F.when(near, kind.raised).otherwise(kind.score)
         return F.struct(x["start"].alias("start"), F.lit(order).alias("order"), x["end"].alias("end"), F.lit(kind.name).alias("kind"), points.alias("score"))
 
@@ -163,16 +180,16 @@ def spans_of(pairs: Column, kind: Kind, whole_context: bool = False) -> Column:
     return kept.cast(SPAN)
 
 
-def detect(docs: DataFrame, key: str = "doc_id", text: str = "text", kinds: list[Kind] = KINDS, whole_context: bool = False) -> DataFrame:
+def detect(docs: DataFrame, key: str = "doc_id", text: str = "text", kinds: list[Kind] = KINDS) -> DataFrame:
     """(key, spans): every span with start, end, kind and score, by start, then kind as listed.
 
     A null or empty text has none. Spans of different kinds may overlap. Repeated rows are searched
-    each; an empty table gives no rows. Other columns are not read. With ``whole_context``, context words count in all of
-    the CONTEXT_CHARS characters before and after a span; otherwise before it only, and not beyond a match of its kind.
+    each; an empty table gives no rows. Other columns are not read. Context words count in all of the CONTEXT_CHARS
+    characters before and after a span.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("key"), *[pairs_of(whole, k).alias(k.name) for k in kinds])
-    rows = rows.select("key", *[spans_of(F.col(k.name), k, whole_context).alias(k.name) for k in kinds])
+    rows = rows.select("key", *[spans_of(F.col(k.name), k).alias(k.name) for k in kinds])
     return rows.select(F.col("key").alias(key), F.array_sort(F.concat(*[F.col(k.name) for k in kinds])).alias("spans"))
 
 
