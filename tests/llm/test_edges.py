@@ -97,3 +97,24 @@ def test_long_runs_without_a_match_stay_linear(spark):
 def test_shards_of_odd_rows(spark, odd):
     rows = sharding.shards(odd, workspace(spark)).collect()
     assert sorted(r.text_crc32 for r in rows) == sorted(crc(r[1]) for r in ROWS)
+
+
+def test_filters_go_by_row_not_by_key(spark):
+    text, other = " ".join(PLAIN.split()[:13]), "quite another text with words of its own that nobody else has at all"
+    rows = [(1, text, "a"), (1, text, "b"), (None, text, "c"), (None, text, "d"), (5, text, "e"), (5, other, "f"), (6, None, "g"), (6, "", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = near_dups.one_of_each(docs).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, text), (5, other), (6, None), (6, "")], key=str)
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    assert sorted(r.source for r in decontaminate.clean(docs, items).collect()) == ["f", "g", "h"]
+    nobody = docs.where("doc_id is null")
+    assert [r.text for r in near_dups.one_of_each(nobody).collect()] == [text]
+    assert near_dups.one_of_each(docs.where("false")).collect() == [] == decontaminate.clean(docs.where("false"), items).collect()
+
+
+def test_native_digest_is_that_of_the_words(spark):
+    shingles = near_dups.Shingles()
+    texts = [None, "", " \n", "A b\tC", "\x0bÉ  ß\u00a0x\x0c ", "ÀB c\x1cd", "İ K"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    got = {r.i: r.d for r in df.select("i", near_dups.native_digest(df.t).alias("d")).collect()}
+    assert [got[i] and bytes(got[i]) for i in range(len(texts))] == [near_dups.digest(shingles.words((t or "").encode())) for t in texts]

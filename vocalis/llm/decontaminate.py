@@ -190,10 +190,13 @@ def near_report(
     )
 
 
-def clean(docs: DataFrame, items: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with all their columns. A row without a key stays.
+def clean(docs: DataFrame, items: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns, whatever their keys.
 
-    Rows that share a key go if one of them is contaminated.
+    Contamination is a matter of the text alone, so rows go by a digest of their texts: of rows that share a key
+    only contaminated ones go, and a contaminated row without a key goes too.
     """
-    bad = report(docs, items, length, key, text).where("contaminated").select(F.col(key).alias("_key")).distinct()
-    return docs.join(bad, docs[key] == bad["_key"], "left_anti")
+    digest = F.md5(F.col(text).cast("binary"))
+    bad = report(docs.select(digest.alias("_key"), F.col(text).alias("_text")), items, length, "_key", "_text")
+    bad = common.written(bad.where("contaminated").select(F.col("_key").alias("_digest")).distinct())
+    return docs.join(bad, digest == bad["_digest"], "left_anti")

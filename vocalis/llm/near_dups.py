@@ -252,6 +252,17 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     text; a text that only such rows have is linked with nothing else, has no component id, and is kept. Rows that repeat a
     key are kept or not together. An empty table gives no rows. Other columns are not read.
     """
+    every, place = _classes(docs, key, text)
+    lowest = place.groupBy("component").agg(F.min("lowest").alias("component_id"))
+    ids = place.select("digest", "component").join(lowest, "component").select(F.col("digest").alias("_digest"), "component_id")
+    rows = every.join(ids, every["digest"] == ids["_digest"], "left")
+    component = F.when(F.col("digest").isNull(), F.col(key)).otherwise(F.col("component_id"))
+    return rows.select(key, "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col(key)).alias("kept"))
+
+
+def _classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(key, digest, n_shingles, bands) of every row, and (digest, lowest, component) of every text with words: its lowest
+    key and its component."""
     every = common.written(signed(docs, key, text))
     named = every.where(F.col("digest").isNotNull())
     nodes = named.groupBy("digest").agg(F.min(key).alias("lowest"), F.first("bands").alias("bands"))
@@ -267,14 +278,33 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     if not rest.isEmpty():
         parts = components(links.unionByName(rest))
     place = nodes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    lowest = place.groupBy("component").agg(F.min("lowest").alias("component_id"))
-    ids = place.select("digest", "component").join(lowest, "component").select(F.col("digest").alias("_digest"), "component_id")
-    rows = every.join(ids, every["digest"] == ids["_digest"], "left")
-    component = F.when(F.col("digest").isNull(), F.col(key)).otherwise(F.col("component_id"))
-    return rows.select(key, "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col(key)).alias("kept"))
+    return every, place.select("digest", "lowest", "component")
+
+
+def native_digest(text: Column) -> Column:
+    """``digest`` of a text's words as an expression; null without words."""
+    words = F.btrim(F.regexp_replace(common.ascii_lower(text), r"[\x20\x09-\x0D]+", " "))
+    return F.when(words != "", F.unhex(F.md5(words.cast("binary"))))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns; a row without a key stays."""
-    gone = groups(docs, key, text).where(~F.col("kept")).select(F.col(key).alias("_key")).distinct()
-    return docs.join(gone, docs[key] == gone["_key"], "left_anti")
+    """One row of every component, with all its columns, and all rows without words, whatever their keys.
+
+    The row with the lowest key stays. A row is told by its key and its text: of rows that share a key
+    only those go whose text is another one's copy, and of rows without a key that share a text one stays. Of rows
+    equal in key and text one stays, the same in every run.
+    """
+    every, place = _classes(docs, key, text)
+    first = F.struct(F.col("lowest").isNull().alias("null"), "lowest", "digest")
+    lead = place.groupBy("component").agg(F.min(first).alias("lead")).select(F.col("lead.digest").alias("_lead"), F.col("lead.lowest").alias("_lowest"))
+    rows = every.where(F.col("digest").isNotNull()).groupBy(F.col("digest").alias("_digest"), F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = rows.join(lead, (rows["_digest"] == lead["_lead"]) & rows["_key"].eqNullSafe(lead["_lowest"]), "left")
+    stays = F.col("_lead").isNotNull()
+    changed = common.written(rows.where(~stays | (F.col("_n") > 1)).select("_digest", "_key", stays.alias("_stays")))
+    same = lambda other: (native_digest(F.col(text)) == other["_digest"]) & F.col(key).eqNullSafe(other["_key"])
+    alone = docs.join(changed, same(changed), "left_anti")
+    again = changed.where("_stays").drop("_stays")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    copies = docs.join(again, same(again), "left_semi")
+    one = copies.groupBy(native_digest(F.col(text)).alias("_digest")).agg(F.max_by(whole, F.md5(F.to_json(whole).cast("binary"))).alias("_row"))
+    return alone.unionByName(one.select("_row.*"))
