@@ -5,6 +5,7 @@ from hashlib import sha256
 
 import pytest
 from llm import brute
+from llm.conftest import PLAIN, ROWS
 
 from vocalis.llm import catalog, decontaminate
 
@@ -66,6 +67,21 @@ def test_near_matches_equal_a_plain_search(spark, slack, reach):
 def test_query_gives_near_matches(spark, sf_dir):
     exact = {r.doc_id: r for r in catalog.op2_benchmark_decontamination(spark, sf_dir).collect()}
     near = {r.doc_id: r for r in catalog.QUERIES["op2_benchmark_proximity"](spark, sf_dir).collect()}
-    assert near.keys() == exact.keys() and all(near[k].n_words == r.n_words for k, r in exact.items())
+    assert near.keys() == exact.keys()
+    assert all(getattr(near[k], c) == getattr(r, c) for k, r in exact.items() for c in r.asDict())  # the same columns from the other index
     assert all(near[k].n_near >= r.n_items for k, r in exact.items())  # exact matches are near ones
     assert all(near[k].n_missing == 0 for k, r in exact.items() if r.n_items)
+
+
+def test_odd_documents(spark, odd, empty):
+    items = spark.createDataFrame([(1, PLAIN), (None, "word"), (2, None), (3, "")], "item_id long, text string")
+    found = decontaminate.near_report(odd, items).collect()
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(r[0]) for r in ROWS)
+    for r in found:
+        if r.doc_id is not None:
+            text = next(x[1] for x in ROWS if x[0] == r.doc_id)
+            expected = near_windows(text, [("1", PLAIN), (None, "word")], 13, decontaminate.SLACK, decontaminate.REACH)
+            assert (r.n_near_windows, r.n_near) == (len({at[1:] for at in expected}), len({at[0] for at in expected if at[0]}))
+            assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == brute.contamination(text, [("1", PLAIN), (None, "word")])
+    assert decontaminate.near_report(empty, items).collect() == []
+    assert all(r.n_near == 0 for r in decontaminate.near_report(odd, items.where("false")).collect())

@@ -151,14 +151,20 @@ def report(
     led = phrases(docs, found, key, text)
     postings = index(docs, led, key, text)
     matches = phrase_matches(postings, led)
+    rows = _exact(postings, matches).withColumnRenamed("key", key)
+    return rows.drop("row")
+
+
+def _exact(postings: DataFrame, matches: DataFrame) -> DataFrame:
+    """(row, key, n_words, n_hit, n_items, items_sha256, contaminated) of every document in the index."""
     matches = common.written(matches.select("row", "item", "start", "length").distinct())
     ids = matches.select("row", "item").distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    every = postings.where(F.col("word") == DOCUMENT).select("row", F.col("key").alias(key), F.col("place").cast("long").alias("n_words"))
+    every = postings.where(F.col("word") == DOCUMENT).select("row", "key", F.col("place").cast("long").alias("n_words"))
     rows = every.join(covered(matches).join(ids, "row", "left"), "row", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     items_ = F.coalesce("items", F.array().cast("array<string>"))
     return rows.select(
-        key, "n_words", n_hit.alias("n_hit"), F.size(items_).cast("long").alias("n_items"),
+        "row", "key", "n_words", n_hit.alias("n_hit"), F.size(items_).cast("long").alias("n_items"),
         F.sha2(F.array_join(items_, ",").cast("binary"), 256).alias("items_sha256"),
         contaminated(n_hit, F.col("n_words")).alias("contaminated"),
     )
@@ -168,10 +174,10 @@ def near_report(
     docs: DataFrame, items: DataFrame, length: int = LENGTH, slack: int = SLACK, reach: int = REACH,
     key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """(key, n_words, n_near_windows, n_near, near_sha256, n_missing), one row per row of ``docs``.
+    """The columns of ``report`` and (n_near_windows, n_near, near_sha256, n_missing), one row per row of ``docs``.
 
     Windows with a near match, items that have one, the sha256 of their ids as in ``report``, and the fewest words
-    missing in any; null without a near match. Exact matches are near matches. Otherwise as ``report``.
+    missing in any; null without a near match. Exact matches are near matches; both come from one index. Otherwise as ``report``.
     """
     found = common.written(windows(items, length, item_key, item_text))
     led = phrases(docs, found, key, text, slack)
@@ -180,12 +186,11 @@ def near_report(
     spots = matches.groupBy("row", "start", "length").agg(F.min("missing").alias("missing"))
     spots = spots.groupBy("row").agg(F.count(F.lit(1)).alias("n_near_windows"), F.min("missing").cast("long").alias("n_missing"))
     ids = matches.select("row", "item").distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    every = postings.where(F.col("word") == DOCUMENT).select("row", F.col("key").alias(key), F.col("place").cast("long").alias("n_words"))
-    rows = every.join(spots.join(ids, "row", "left"), "row", "left")
+    rows = _exact(postings, phrase_matches(postings, led)).join(spots.join(ids, "row", "left"), "row", "left")
     items_ = F.coalesce("items", F.array().cast("array<string>"))
     return rows.select(
-        key, "n_words", F.coalesce("n_near_windows", F.lit(0)).cast("long").alias("n_near_windows"),
-        F.size(items_).cast("long").alias("n_near"),
+        F.col("key").alias(key), "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
+        F.coalesce("n_near_windows", F.lit(0)).cast("long").alias("n_near_windows"), F.size(items_).cast("long").alias("n_near"),
         F.sha2(F.array_join(items_, ",").cast("binary"), 256).alias("near_sha256"), "n_missing",
     )
 
