@@ -11,9 +11,6 @@ from vocalis.lexicons import PolarityRules
 from vocalis.operators.stages import computed_once
 from vocalis.session import workspace
 
-#: Small maps that a text's own part of a large lexicon is dealt into, so that a look-up reads few entries.
-TEXT_MAPS = 64
-
 
 def score(
     df: DataFrame,
@@ -27,7 +24,7 @@ def score(
 
     Any valence table will do, and every text is scored inside its row. A table of at most
     ``inline_limit`` tokens is carried in the plan: no shuffle, whatever the number of texts. Beyond
-    that, each distinct text gets its own part of the table by a join of its distinct words. Both give
+    that, each place of each distinct text asks the table by a join. Both give
     the same results and need nothing but the words. The second writes the rows to the shared folder
     first, so they are read once; it needs a table at rest, and a stream labels its micro-batches
     (``streaming.live.label_into_store``).
@@ -57,22 +54,20 @@ def label_rows(df: DataFrame, valences: DataFrame, words: str = "words", **optio
 def _with_joined_roles(rows: DataFrame, roles: DataFrame) -> DataFrame:
     """``rows`` plus ``_roles``, the role of every word of ``_tokens``, from a table of any size.
 
-    A text is known by a digest of its words, so repeated texts share one look-up and no key is asked
-    of the caller. Only words that have a role travel; copies of a text collapse before the shuffle. A
-    word or a text that a third of all rows hold is split by the skew join.
+    A text is known by a digest of its words, so no key is asked of the caller, and copies of a text are one before their
+    words are taken apart. Every place of a text asks for its word's role once, and the answers, in order of the places,
+    are the roles: nothing is looked up in the row. A word or a text that a third of all rows hold is split by
+    the skew join.
     """
     spark, path = rows.sparkSession, workspace(rows.sparkSession)
-    digest = F.md5(F.to_json(F.struct("_tokens")).cast("binary"))
+    digest = F.unhex(F.md5(F.to_json(F.struct("_tokens")).cast("binary")))
     computed_once(rows, _digest=digest).write.parquet(path)
     rows = spark.read.parquet(path)
-    words = rows.select("_digest", F.explode(F.array_distinct("_tokens")).alias("token"))
-    entry = F.struct("token", F.struct("valence", "boost", "factor").alias("role"))
-    found = words.join(roles, "token").groupBy("_digest").agg(F.collect_set(entry).alias("entries"))
-    slot = lambda token: F.pmod(F.xxhash64(token), F.lit(TEXT_MAPS)).cast("int")
-    dealt = F.transform(
-        F.sequence(F.lit(0), F.lit(TEXT_MAPS - 1)),
-        lambda n: F.map_from_entries(F.filter("entries", lambda e: slot(e["token"]) == n)),
-    )
-    found = computed_once(found, _maps=dealt).select(F.col("_digest").alias("_known"), "_maps")
+    texts = rows.select("_digest", "_tokens").dropDuplicates(["_digest"])
+    words = texts.select("_digest", F.posexplode("_tokens").alias("place", "token"))
+    role = F.when(F.col("known"), F.struct("valence", "boost", "factor"))
+    asked = words.join(roles.withColumn("known", F.lit(True)), "token", "left").select("_digest", "place", role.alias("role"))
+    found = asked.groupBy(F.col("_digest").alias("_known")).agg(F.sort_array(F.collect_list(F.struct("place", "role"))).alias("_asked"))
     joined = rows.join(found, rows["_digest"] == found["_known"], "left")
-    return computed_once(joined, _roles=F.transform("_tokens", lambda t: F.get("_maps", slot(t))[t])).drop("_digest", "_known", "_maps")
+    answers = F.coalesce(F.transform("_asked", lambda x: x["role"]), F.array())  # a text without words asks nothing
+    return computed_once(joined, _roles=F.when(F.col("_tokens").isNotNull(), answers)).drop("_digest", "_known", "_asked")
