@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vocalis import lexicons
+from vocalis.functions import text
 from vocalis.lexicons import PolarityRules
 from vocalis.operators import stages
 from vocalis.plans.opinions import Settings
@@ -133,6 +134,12 @@ def land_talks(spark: SparkSession, sf_dir: str, folder: str, bad_likes: bool =
     pages.select(F.col("conv_id").cast("string").alias("video_id"), "page_no", token.alias("nextPageToken"), "items").write.json(folder)
 
 
+def short_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of stop words that grows with the benchmark: its words of up to three letters."""
+    words = table(spark, sf_dir, "benchmark", "text").select(F.explode(text.words(F.col("text"), ())).alias("word"))
+    return words.where(F.length("word") <= 3).distinct()
+
+
 def word_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A keyword table that grows with the benchmark: its words and pairs of neighbours, by length and first letter."""
     rows = stages.clean_rows(table(spark, sf_dir, "benchmark", "text"), "text", STOPWORDS, keep_words=True).select("words")

@@ -188,14 +188,28 @@ _LINE_RANK = (
     "row_number() over (partition by l_partkey order by l_extendedprice desc, l_orderkey, l_linenumber, l_quantity) as rn"
 )
 
+_KEYWORDS = (
+    "k as (select distinct keyword, (1 + length(keyword) - length(replace(keyword, ' ', ''))) || keyword[1] as topic from "
+    "(select unnest(words) as keyword from b union all select words[i] || ' ' || words[i + 1] from (select words, unnest(range(1, len(words))) as i from b)))"
+)
 #: The keyword list of the benchmark, and the documents' tags where ``found`` says whether a keyword is in one.
 _MANY = (
     f"with {DOCS}, {cleaned('benchmark', 'text', binding.STOPWORDS, 'b')}, "
-    "k as (select distinct keyword, (1 + length(keyword) - length(replace(keyword, ' ', ''))) || keyword[1] as topic from "
-    "(select unnest(words) as keyword from b union all select words[i] || ' ' || words[i + 1] from (select words, unnest(range(1, len(words))) as i from b))), "
+    f"{_KEYWORDS}, "
     "hit as (select distinct doc_id, topic from c join k on {found}) "
     "select doc_id, coalesce((select string_agg(topic, '|' order by topic) from hit where hit.doc_id = c.doc_id), '') as topics from c"
 )
+_THREE = "store as (select * exclude (source), lang as source from labelled, (values ('w1'), ('w2'), ('w3')) b(batch) where batch = 'w1' or (batch = 'w2' and lang <> 'fr') or (batch = 'w3' and lang = 'en'))"
+#: Word lists as tables: stop words of the benchmark, and its keywords as above.
+_TABLES = (
+    f"with stop as (select distinct w from (select unnest({words('text', [''])}) as w from benchmark) where length(w) <= 3), "
+    f"e as (select doc_id, unnest(w) as w, unnest(range(len(w))) as pos from (select doc_id, {words('text', [''])} as w from documents where text is not null)), "
+    "c as (select doc_id, list(w order by pos) as words, string_agg(w, ' ' order by pos) as cleaned from e where w not in (select w from stop) group by doc_id), "
+    f"{cleaned('benchmark', 'text', binding.STOPWORDS, 'b')}, {_KEYWORDS}, hit as (select distinct doc_id, topic from c join k on contains(cleaned, keyword)), "
+    f"{scored('c', 'doc_id', binding.RULES, 'first')} "
+    "select doc_id, cleaned, coalesce((select string_agg(topic, '|' order by topic) from hit where hit.doc_id = s.doc_id), '') as topics, "
+    f"{tag_string('cleaned', MODEL_TOPICS)} as phone_models, sentiment from s"
+)
 #: Pages of talks that landed: number, last number of the chain, and the turns on them.
 _TALK_PAGES = (
     f"t as (select *, cast(turn // {binding.TURNS} as int) as page_no, max(turn) over (partition by conv_id) // {binding.TURNS} as last, "
@@ -311,5 +325,9 @@ ORACLE: dict[str, str] = {
     "cast(pos as int) as pos from landed",
     "rejected_comments": f"with {_TALK_PAGES} select text, case when bad then null else length(text) end as likes, "
     "case when bad then 'likes are no whole number' else '' end as reasons from (select *, (conv_id + turn) % 13 = 4 as bad from landed)",
+    "labels_from_tables": _TABLES,
+    "refreshed_shares": LABELLED[:-1] + ", " + _THREE + " select source, sentiment, count(*) as count, "
+    "round(count(*)::double / sum(count(*)) over (partition by source)::double, 6) as share from store group by source, sentiment",
+    "refreshed_matrix": LABELLED[:-1] + ", " + _THREE + f" select source, topic, {MATRIX} from " + UNNESTED.format(source="store") + " group by source, topic",
     "stream_labels": LABELLED + f"select {FLAT}, lang as source from labelled",
 }

@@ -12,7 +12,7 @@ from vocalis.catalog import binding
 from vocalis.catalog.binding import table
 from vocalis.functions import polarity, tags, text, values
 from vocalis.operators import keywords, ranking, report, scoring, stages
-from vocalis.plans import opinions
+from vocalis.plans import opinions, summaries
 from vocalis.session import workspace
 from vocalis.sources import chains, landed, rejects, sinks, tables
 from vocalis.streaming import live
@@ -346,6 +346,35 @@ def compacted_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(tables.read_store(spark, path), "source", "batch")
 
 
+def labels_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word list as a table: stop words and topics of the benchmark, models, valences."""
+    models = spark.createDataFrame([(n, m) for n, m in enumerate(binding.MODELS)], "rank int, model string")
+    settings = opinions.Settings(
+        stopwords=binding.short_words(spark, sf_dir), topics=binding.word_keywords(spark, sf_dir), models=models, rules=binding.RULES
+    )
+    rows = opinions.label_texts(table(spark, sf_dir, "documents", "doc_id", "text"), "text", binding.valences(spark), settings)
+    return rows.select("doc_id", "cleaned", _joined("topics"), _joined("phone_models"), "sentiment")
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Reports over a store that grows and changes between two looks at it."""
+    path, folder, rows = workspace(spark), workspace(spark), _written(_store_rows(spark, sf_dir))
+    sinks.write_store(rows, path, "w1")
+    sinks.write_store(rows, path, "w2")
+    summaries.refresh(spark, path, folder)
+    sinks.write_store(rows.where("source <> 'fr'"), path, "w2", "replace")
+    sinks.write_store(rows.where("source = 'en'"), path, "w3")
+    return summaries.reports(spark, path, folder)
+
+
+def refreshed_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir)[0].withColumn("share", F.round("share", 6))
+
+
+def refreshed_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir)[1]
+
+
 def conversation_opinions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, store = _landed(spark, sf_dir), workspace(spark)
     opinions.run(spark, folder, store, "w1", binding.ANCHOR, binding.valences(spark), binding.CHAIN)
@@ -436,6 +465,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sentiment_by_join, sentiment_own_words, sentiment_distribution, sentiment_share, topic_sentiment_counts, topic_sentiment_matrix,
         topic_sentiment_matrix_by_lang, jsonl_roundtrip, csv_export, append_batches, replace_batches,
         tag_topics_many_words, tag_topics_many_substrings, compacted_batches, landed_page_faults, landed_comments_once, rejected_comments,
+        labels_from_tables, refreshed_shares, refreshed_matrix,
         landed_headlines, landed_videos, landed_comments, conversation_opinions, conversation_report,
         conversation_distribution, exported_tags, stream_windows, stream_sentiment_windows, stream_labels, two_streams,
     )

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vocalis.functions import tags
+from vocalis.operators import stages
 from vocalis.operators.stages import computed_once
 from vocalis.session import workspace
 
@@ -32,6 +33,22 @@ def keyword_table(spark: SparkSession, topics: Mapping[str, Sequence[str]], norm
     return spark.createDataFrame(rows, "rank int, topic string, keyword string")
 
 
+def tag_rows(
+    df: DataFrame, topics: Mapping[str, Sequence[str]] | DataFrame, models: Sequence[str] | DataFrame, column: str = "cleaned"
+) -> DataFrame:
+    """``stages.tag_rows`` with topics as a keyword table, models as a table (model), or both or none of them."""
+    names = models.select(F.col("model").alias("topic"), F.col("model").alias("keyword")) if isinstance(models, DataFrame) else None
+    if names is not None and "rank" in models.columns:
+        names = models.select("rank", F.col("model").alias("topic"), F.col("model").alias("keyword"))
+    small_topics, small_models = {} if isinstance(topics, DataFrame) else topics, () if names is not None else models
+    rows = stages.tag_rows(df, column, small_topics, small_models)
+    if names is not None:
+        rows = tag_anywhere(rows.drop("phone_models"), names, column, "phone_models")
+    if isinstance(topics, DataFrame):
+        rows = tag_anywhere(rows.drop("topics"), topics, column, "topics")
+    return rows.select(*df.columns, "phone_models", "topics")
+
+
 def _written(df: DataFrame) -> DataFrame:
     path = workspace(df.sparkSession)
     df.write.parquet(path)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vocalis import lexicons
 from vocalis.functions import tags, text
+from vocalis.session import workspace
 
 
 def computed_once(df: DataFrame, **values: Column) -> DataFrame:
@@ -37,25 +38,48 @@ def distinct_texts(*tables: DataFrame, column: str = "headline") -> DataFrame:
 def clean_rows(
     df: DataFrame,
     column: str,
-    stopwords: Iterable[str] = lexicons.STOPWORDS,
+    stopwords: Iterable[str] | DataFrame = lexicons.STOPWORDS,
     mention: str | None = None,
     keep_words: bool = False,
 ) -> DataFrame:
     """``df`` plus ``cleaned``; rows with a null text, or with nothing left of it, are dropped.
 
     With ``mention`` only rows whose cleaned text contains it stay. ``keep_words`` also leaves the
-    array ``words`` in the table, for the scorer.
+    array ``words`` in the table, for the scorer. Stop words may be a table (word) of any size.
     """
     rows = df.where(F.col(column).isNotNull())
     if mention is not None:
         rows = rows.where(may_mention(F.col(column), mention))
-    rows = computed_once(rows, words=text.words(F.col(column), stopwords)).where(F.size("words") > 0)
+    if isinstance(stopwords, DataFrame):
+        rows = without_words(computed_once(rows, words=text.words(F.col(column), ())), stopwords)
+    else:
+        rows = computed_once(rows, words=text.words(F.col(column), stopwords))
+    rows = rows.where(F.size("words") > 0)
     rows = computed_once(rows, cleaned=F.array_join("words", " "))
     if mention is not None:
         rows = mentions(rows, mention)
     return rows if keep_words else rows.drop("words")
 
 
+def without_words(df: DataFrame, stopwords: DataFrame, column: str = "words") -> DataFrame:
+    """``df`` without the words of a table (word) of any size in its array ``column``; the others keep their order.
+
+    Each place of each distinct text meets the table by an anti-join, and the places that are left are put in
+    order again within their text. Texts are told by a digest, so copies are one before they are taken apart. Rows are
+    written to the shared folder first; a stream takes a table in its micro-batches.
+    """
+    spark, path = df.sparkSession, workspace(df.sparkSession)
+    computed_once(df, _digest=F.unhex(F.md5(F.to_json(F.struct(column)).cast("binary")))).write.parquet(path)
+    rows = spark.read.parquet(path)
+    texts = rows.select("_digest", column).dropDuplicates(["_digest"])
+    places = texts.select(F.col("_digest").alias("_known"), F.posexplode(column).alias("_place", "_word"))
+    left = places.join(stopwords.select(F.col("word").alias("_word")), "_word", "left_anti")
+    kept = left.groupBy("_known").agg(F.sort_array(F.collect_list(F.struct("_place", "_word"))).alias("_kept"))
+    joined = rows.join(kept, rows["_digest"] == kept["_known"], "left")
+    words = F.coalesce(F.transform("_kept", lambda x: x["_word"]), F.array().cast("array<string>"))
+    return joined.withColumn(column, F.when(F.col(column).isNotNull(), words)).select(*df.columns)
+
+
 def clean_table(df: DataFrame, column: str, stopwords: Iterable[str] = lexicons.STOPWORDS) -> DataFrame:
     """Only the raw text and its cleaned form, as ``<column>`` and ``cleaned_<column>``."""
     return clean_rows(df.select(column), column, stopwords).withColumnRenamed("cleaned", f"cleaned_{column}")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vocalis import lexicons, schemas
 from vocalis.lexicons import PolarityRules
-from vocalis.operators import ranking, report, scoring, stages
+from vocalis.operators import keywords, ranking, report, scoring, stages
 from vocalis.sources import chains, landed, rejects, sinks, tables
 
 HEADLINES, COMMENTS = "headlines", "comments"
@@ -20,11 +20,11 @@ HEADLINES, COMMENTS = "headlines", "comments"
 
 @dataclass(frozen=True)
 class Settings:
-    """What a run reads apart from its pages."""
+    """What a run reads apart from its pages. Stop words (word), topics (topic, keyword) and models (model) may be tables of any size."""
 
-    stopwords: Iterable[str] = tuple(lexicons.STOPWORDS)
-    topics: Mapping[str, Sequence[str]] = field(default_factory=lambda: dict(lexicons.TOPICS))
-    models: Sequence[str] = tuple(lexicons.PHONE_MODELS)
+    stopwords: Iterable[str] | DataFrame = tuple(lexicons.STOPWORDS)
+    topics: Mapping[str, Sequence[str]] | DataFrame = field(default_factory=lambda: dict(lexicons.TOPICS))
+    models: Sequence[str] | DataFrame = tuple(lexicons.PHONE_MODELS)
     mention: str = lexicons.MENTION
     search: str | None = None  # for landed pages that no search made, as a search has matched titles already
     whole_files: bool = False  # pages are one document per file, not one per line
@@ -57,8 +57,10 @@ def label_texts(
     rows = stages.clean_rows(df, column, settings.stopwords, keep_words=True)
     rows = rows if keep is None else rows.where(keep)
     if tags:
-        rows = stages.tag_rows(rows, "cleaned", settings.topics, settings.models)
-    rules = settings.rules.reachable(settings.stopwords)
+        rows = keywords.tag_rows(rows, settings.topics, settings.models)
+    rules = settings.rules
+    if not isinstance(settings.stopwords, DataFrame):
+        rules = rules.reachable(settings.stopwords)
     return scoring.label_rows(rows, valences, rules=rules, repeats=settings.repeats, **options)
 
 
