@@ -301,10 +301,14 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     rows = rows.join(lead, (rows["_digest"] == lead["_lead"]) & rows["_key"].eqNullSafe(lead["_lowest"]), "left")
     stays = F.col("_lead").isNotNull()
     changed = common.written(rows.where(~stays | (F.col("_n") > 1)).select("_digest", "_key", stays.alias("_stays")))
+    keys = changed.select(F.col("_key").alias("_changed")).distinct()
+    on = F.col(key).eqNullSafe(F.col("_changed"))
+    untouched = docs.join(keys, on, "left_anti")  # most rows: their texts need no second look
+    touched = common.written(docs.join(keys, on, "left_semi"))
     same = lambda other: (native_digest(F.col(text)) == other["_digest"]) & F.col(key).eqNullSafe(other["_key"])
-    alone = docs.join(changed, same(changed), "left_anti")
+    alone = touched.join(changed, same(changed), "left_anti")
     again = changed.where("_stays").drop("_stays")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    copies = docs.join(again, same(again), "left_semi")
+    copies = touched.join(again, same(again), "left_semi")
     one = copies.groupBy(native_digest(F.col(text)).alias("_digest")).agg(F.max_by(whole, F.md5(F.to_json(whole).cast("binary"))).alias("_row"))
-    return alone.unionByName(one.select("_row.*"))
+    return untouched.unionByName(alone).unionByName(one.select("_row.*"))
