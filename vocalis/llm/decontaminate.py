@@ -52,7 +52,7 @@ def _tokens(texts: DataFrame) -> DataFrame:
 
 
 def phrases(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text", slack: int = 0) -> DataFrame:
-    """(item, words, word, offset) with the phrase's rarest words in the documents; ties take the first place.
+    """(item, words, word, offset, nth) with the phrase's rarest words in the documents, the rarest being number 0; ties take the first place.
 
     The counts cover all documents. A phrase has one leading word more than may still be missing. Words that no
     document holds are missing everywhere: a phrase with more than ``slack`` of them cannot occur and is left out.
@@ -65,8 +65,8 @@ def phrases(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str =
     held = F.filter("ranked", lambda x: x["n"] > 0)
     left = F.lit(slack) - F.size("ranked") + F.size(held)
     led = each.groupBy("item", "words").agg(ranked).where(left >= 0)
-    led = led.select("item", "words", F.explode(F.slice(held, F.lit(1), left + 1)).alias("lead"))
-    return common.written(led.select("item", "words", F.col("lead.word").alias("word"), F.col("lead.offset").alias("offset")))
+    led = led.select("item", "words", F.posexplode(F.slice(held, F.lit(1), left + 1)).alias("nth", "lead"))
+    return common.written(led.select("item", "words", F.col("lead.word").alias("word"), F.col("lead.offset").alias("offset"), "nth"))
 
 
 def index(docs: DataFrame, led: DataFrame, key: str = "doc_id", text: str = "text", reach: int | None = None) -> DataFrame:
@@ -186,7 +186,8 @@ def near_report(
     spots = matches.groupBy("row", "start", "length").agg(F.min("missing").alias("missing"))
     spots = spots.groupBy("row").agg(F.count(F.lit(1)).alias("n_near_windows"), F.min("missing").cast("long").alias("n_missing"))
     ids = matches.select("row", "item").distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    rows = _exact(postings, phrase_matches(postings, led)).join(spots.join(ids, "row", "left"), "row", "left")
+    rarest = common.written(led.where("nth = 0"))  # one leading word is enough for exact matches, and its table is small
+    rows = _exact(postings, phrase_matches(postings, rarest)).join(spots.join(ids, "row", "left"), "row", "left")
     items_ = F.coalesce("items", F.array().cast("array<string>"))
     return rows.select(
         F.col("key").alias(key), "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
