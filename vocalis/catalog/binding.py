@@ -58,6 +58,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 FIRST_SECOND = 1_704_067_200
 
 
+#: Rows of a selection that is made without ranking.
+MANY = 1000
+
+
 def own_valences(docs: DataFrame) -> DataFrame:
     """A valence list of all words of the documents themselves, for lists that grow with the data."""
     words = docs.select(F.explode("words").alias("token")).distinct()

@@ -246,6 +246,17 @@ ORACLE: dict[str, str] = {
     "arg_max(o_orderkey, place) as arrival from best group by o_custkey",
     "top_comments_per_video": "select l_partkey, l_extendedprice, l_orderkey, l_linenumber, l_quantity from "
     f"(select *, {_LINE_RANK} from lineitem) where rn <= 5",
+    "stream_top_comments": "select l_partkey, l_extendedprice, l_orderkey, l_linenumber, l_quantity from "
+    f"(select *, {_LINE_RANK} from lineitem) where rn <= 5",
+    "top_videos_many": f"select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit {binding.MANY}",
+    "top_comments_many": "select l_returnflag, l_quantity, l_orderkey, l_linenumber from lineitem qualify row_number() over "
+    f"(partition by l_returnflag order by l_quantity desc, l_orderkey, l_linenumber) <= {binding.MANY}",
+    "stream_late_windows": "with e as (select ts, event_type, date_trunc('day', ts)::timestamp as window_start, "
+    "(date_trunc('day', ts) + interval 1 day)::timestamp as window_end, (event_id * 7 + day(ts)) % 3 as r from events), "
+    "m as (select r, max(ts) as greatest from e group by r), "
+    "l as (select e.*, coalesce(window_end <= (select max(greatest) from m where m.r < e.r) - interval 36 hours, false) as late from e) "
+    "select window_start, window_end, event_type, count(*) filter (not late) as on_time, count(*) filter (late) as late, "
+    "count(*) as count from l group by all",
     "detail_lookup": "select * from part where p_partkey in (select l_partkey from lineitem)",
     "top_video_comments": "with v as (select p_partkey, p_name from part order by p_retailprice desc, p_partkey limit 50) "
     "select l_partkey as video_id, p_name as video_title, l_orderkey, l_linenumber, l_quantity, l_extendedprice from "

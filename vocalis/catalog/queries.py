@@ -11,11 +11,11 @@ from vocalis import schemas
 from vocalis.catalog import binding
 from vocalis.catalog.binding import table
 from vocalis.functions import polarity, tags, text, values
-from vocalis.operators import keywords, ranking, report, scoring, stages
+from vocalis.operators import keywords, ranking, report, scoring, selection, stages
 from vocalis.plans import opinions, summaries
 from vocalis.session import workspace
 from vocalis.sources import chains, landed, rejects, sinks, tables
-from vocalis.streaming import live
+from vocalis.streaming import late, live, tops
 
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -409,6 +409,19 @@ def exported_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged[0].unionByName(tagged[1]).select("source", "text", "cleaned", _joined("phone_models"), _joined("topics"))
 
 
+def top_videos_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dearest orders, too many to rank in one task."""
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_totalprice")
+    return selection.first_rows(orders, F.floor("o_totalprice"), [F.desc("o_totalprice"), F.asc("o_orderkey")], binding.MANY)
+
+
+def top_comments_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest lines of each state, few states with a large part of all rows each; most quantities are tied."""
+    lines = table(spark, sf_dir, "lineitem", "l_returnflag", "l_quantity", "l_orderkey", "l_linenumber")
+    order = [F.desc("l_quantity"), F.asc("l_orderkey"), F.asc("l_linenumber")]
+    return selection.first_per_group(lines, ["l_returnflag"], F.floor("l_quantity"), order, binding.MANY)
+
+
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The files of a table as a stream; as a pattern, for a table may be one file or a folder of files."""
     schema = table(spark, sf_dir, name).schema
@@ -455,6 +468,33 @@ def two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(tables.read_store(spark, store), "source")
 
 
+def _in_rounds(spark: SparkSession, rows: DataFrame, number: Column, start: Callable) -> None:
+    """Rows that land in three rounds, in the order of their number, each read by the same stream before the next lands."""
+    folder = workspace(spark)
+    for n in range(3):
+        rows.where(number == n).write.mode("append").parquet(folder)
+        start(spark.readStream.schema(rows.schema).parquet(folder)).awaitTermination()
+
+
+def stream_top_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, checkpoint = workspace(spark), workspace(spark)
+    lines = table(spark, sf_dir, "lineitem", "l_partkey", "l_extendedprice", "l_orderkey", "l_linenumber", "l_quantity")
+    order = [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("l_quantity")]
+    start = lambda stream: tops.into_tops(stream, path, checkpoint, ["l_partkey"], order, 5)
+    _in_rounds(spark, lines, F.col("l_orderkey") % 3, start)
+    tops.fold(spark, path, lines.schema, ["l_partkey"])
+    return tops.tops(spark, path, lines.schema, ["l_partkey"])
+
+
+def stream_late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which a third lands after its time, by the day of the month."""
+    path, checkpoint = workspace(spark), workspace(spark)
+    events = table(spark, sf_dir, "events", "event_id", "ts", "event_type")
+    start = lambda stream: late.into_counts(stream, "ts", ["event_type"], "1 day", "36 hours", path, checkpoint)
+    _in_rounds(spark, events, F.pmod(F.col("event_id") * 7 + F.dayofmonth("ts"), F.lit(3)), start)
+    return late.counts(spark, path, ["event_type"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -467,6 +507,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         tag_topics_many_words, tag_topics_many_substrings, compacted_batches, landed_page_faults, landed_comments_once, rejected_comments,
         labels_from_tables, refreshed_shares, refreshed_matrix,
         landed_headlines, landed_videos, landed_comments, conversation_opinions, conversation_report,
+        top_videos_many, top_comments_many, stream_top_comments, stream_late_windows,
         conversation_distribution, exported_tags, stream_windows, stream_sentiment_windows, stream_labels, two_streams,
     )
 }

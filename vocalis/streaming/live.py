@@ -27,18 +27,30 @@ def windowed_counts(stream: DataFrame, time: str, keys: list[str], width: str, l
     Windows are cut in UTC; a time without zone is read as
     UTC and given back without one.
     """
-    zoneless = isinstance(stream.schema[time].dataType, T.TimestampNTZType)
-    utc, here = F.lit("UTC"), F.current_timezone()
-    instant = F.convert_timezone(utc, here, F.col(time)) if zoneless else F.col(time)
-    timed = stream.withColumn(time, instant.cast("timestamp")).withWatermark(time, lateness)
+    timed = stream.withColumn(time, in_utc(stream, time)).withWatermark(time, lateness)
     counts = timed.groupBy(F.window(time, width).alias("span"), *keys).agg(F.count(F.lit(1)).alias("count"))
+    start, end = window_edges(stream, time, "span")
+    return counts.select(start.alias("window_start"), end.alias("window_end"), *keys, "count")
+
+
+def _zoneless(df: DataFrame, time: str) -> bool:
+    return isinstance(df.schema[time].dataType, T.TimestampNTZType)
+
+
+def in_utc(df: DataFrame, time: str) -> Column:
+    """The instant of a time; one without zone is read as UTC."""
+    instant = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(time)) if _zoneless(df, time) else F.col(time)
+    return instant.cast("timestamp")
+
+
+def window_edges(df: DataFrame, time: str, span: str) -> list[Column]:
+    """Start and end of a window over ``in_utc``, without zone if the time of ``df`` has none."""
 
     def edge(name: str) -> Column:
-        value = F.col(f"span.{name}")
-        value = F.convert_timezone(here, utc, value.cast("timestamp_ntz")) if zoneless else value
-        return value.alias(f"window_{name}")
+        value = F.col(f"{span}.{name}")
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), value.cast("timestamp_ntz")) if _zoneless(df, time) else value
 
-    return counts.select(edge("start"), edge("end"), *keys, "count")
+    return [edge("start"), edge("end")]
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str) -> None:
