@@ -114,8 +114,8 @@ agpl 55 gnu agpl
 = gpl
 gpl-3.0 55 gpl ?(?:version |v ?)3(?: 0)?
 gpl-2.0 55 gpl ?(?:version |v ?)2(?: 0)?
-gpl-3.0 55 gpl 3 0(?: or later|\+)?
-gpl-2.0 55 gpl 2 0(?: or later|\+)?
+gpl-3.0 55 gpl 3 0(?: or later)?
+gpl-2.0 55 gpl 2 0(?: or later)?
 gpl-3.0 55 gplv3
 gpl-2.0 55 gplv2
 lgpl-3.0 55 lgplv3
@@ -272,7 +272,7 @@ busl-1.1 85 business source licen[sc]e(?: (?:version |v )?1 1)?
 = elastic
 elastic-2.0 85 elastic licen[sc]e(?: (?:version |v )?2 0)?
 = openrail
-openrail 85 (?:creativeml |bigscience )?openrail(?: m| \+\+)?(?: licen[sc]e)?
+openrail 85 (?:creativeml |bigscience )?openrail(?: m)?(?: licen[sc]e)?
 = what the fuck
 wtfpl 85 do what the fuck you want to public licen[sc]e
 = licen
