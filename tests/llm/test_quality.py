@@ -35,5 +35,15 @@ def test_rules_after_a_rejection_are_not_evaluated():
 def test_estimates_are_of_each_rule_alone(documents):
     found = estimates(texts(documents))
     assert found.keys() == {name for name, _ in RULES}
-    assert all(cost >= 0 and 0 <= share <= 1 for cost, share in found.values())
+    assert all(cost >= 0 and 0 <= rejected <= len(texts(documents)) for cost, rejected in found.values())
     assert quality.cascade(documents) and set(quality.cascade(documents)) == set(found)
+
+
+def test_the_sample_has_whole_texts_of_all_parts(spark):
+    """A rule that only the ends of long texts in the last files break is found selective."""
+    rows = [(i, "word " * 6000 + ("end" if i >= 900 else "stop")) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(5, "doc_id")
+    rules = [("never", lambda t: False), ("ends", lambda t: t.data.endswith(b"end"))]
+    assert quality.cascade(docs, rules=rules, rows=300) == ["ends", "never"]
+    assert quality.cascade(docs.where("false"), rules=rules) == ["never", "ends"]
+    assert quality.cascade(docs.selectExpr("doc_id", "cast(null as string) as text").limit(3), rules=rules) == ["never", "ends"]

@@ -1,7 +1,7 @@
 """Quality rules as a short-circuit cascade.
 
 Rules reject a text; a text is kept if no rule rejects it, so their order never changes a verdict, only
-the time it takes. On a bounded sample every rule's cost and selectivity are measured, and rules run in
+the time it takes. On a sample of whole texts every rule's cost and selectivity are measured, and rules run in
 the order of rejections per cost: once a rule rejects, the others are not evaluated. The sample orders the
 rules; every whole text of the table goes through them.
 """
@@ -17,16 +17,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from vocalis.llm import common
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
-#: Rows of the sample that orders the rules; more rows give steadier estimates, not other verdicts.
-SAMPLE_ROWS = 512
-#: Bytes of a sampled text that are used for the estimates.
-SAMPLE_BYTES = 20_000
+#: Rows expected in the sample that orders the rules, from all parts of the table; more give steadier estimates, not other verdicts.
+SAMPLE_ROWS, SAMPLE_SEED = 512, 7
+ESTIMATES = "rule string, texts long, seconds double, rejected long"
 #: Odd multiplier of the window hash.
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -119,27 +120,41 @@ def rejected_by(text: Text, rules: Iterable[Rule]) -> str | None:
     return next((name for name, rejects in rules if rejects(text)), None)
 
 
-def estimates(sample: list[bytes], rules: list[Rule] = RULES) -> dict[str, tuple[float, float]]:
-    """(seconds per text, share rejected) of every rule alone on the sample."""
+def estimates(sample: list[bytes], rules: list[Rule] = RULES) -> dict[str, tuple[float, int]]:
+    """(seconds, texts rejected) of every rule alone on the whole texts of the sample."""
     found = {}
     for name, rejects in rules:
-        texts = [Text(t[:SAMPLE_BYTES]) for t in sample]
+        texts = [Text(t) for t in sample]
         start = time.perf_counter()
-        rejected = sum(map(rejects, texts))
-        found[name] = ((time.perf_counter() - start) / max(1, len(texts)), rejected / max(1, len(texts)))
+        rejected = sum(map(bool, map(rejects, texts)))
+        found[name] = (time.perf_counter() - start, rejected)
     return found
 
 
 def ordered(rules: list[Rule], found: dict[str, tuple[float, float]]) -> list[Rule]:
-    """Rules by rejections per cost, the best first; ties keep their order."""
-    return sorted(rules, key=lambda rule: -found[rule[0]][1] / max(found[rule[0]][0], 1e-9))
+    """Rules by rejections per cost, the best first; ties keep their order, rules without estimates come last."""
+    return sorted(rules, key=lambda rule: -found[rule[0]][1] / max(found[rule[0]][0], 1e-9) if rule[0] in found else 0.0)
 
 
 def cascade(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES, rows: int = SAMPLE_ROWS) -> list[str]:
-    """The names of the rules in the order in which to run them, from a sample of at most ``rows`` texts."""
-    cut = F.substring(F.col(text).cast("binary"), 1, SAMPLE_BYTES).alias("t")
-    sample = [bytes(r.t or b"") for r in docs.select(cut).limit(rows).collect()]
-    return [name for name, _ in ordered(rules, estimates(sample, rules))]
+    """The names of the rules in the order in which to run them, from a sample of about ``rows`` whole texts.
+
+    Rows of every part of the table are equally likely. They are measured where they are read; only each rule's seconds
+    and rejections reach the driver. An empty table leaves the rules in their order.
+    """
+    sample = docs.select(F.col(text).cast("binary").alias("t")).sample(min(1.0, rows / max(1, docs.count())), SAMPLE_SEED)
+    schema = T.StructType.fromDDL(ESTIMATES)
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, common.SLICE_ROWS):
+                texts = [t or b"" for t in batch.column(0).slice(start, common.SLICE_ROWS).to_pylist()]
+                found = [(name, len(texts), *measured) for name, measured in estimates(texts, rules).items()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), arrow)], schema=arrow)
+
+    sums = common.map_arrow(sample, run, schema).groupBy("rule").agg(F.sum("seconds").alias("seconds"), F.sum("rejected").alias("rejected"))
+    return [name for name, _ in ordered(rules, {r.rule: (r.seconds, r.rejected) for r in sums.collect()})]
 
 
 def _in_order(names: list[str]) -> list[Rule]:
