@@ -252,3 +252,12 @@ def test_file_format(spark, documents, texts):
     assert len(damaged.ids(1)) == len(reader.ids(1))  # frames are independent
     # a file that no committed task wrote is not read
     assert token_files.read_back(manifest, folder).count() == len(texts)
+
+
+def test_encoder_does_not_keep_long_chunks():
+    encoder, long = token_files.Encoder(BPE), "語" * 500
+    texts = [long, f"a {long} b", f"{long} {long}", "a b"]
+    found = encoder.encode(texts)
+    plain = token_files.load(BPE)[0]
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(map(len, [*encoder.after_space, *encoder.other])) <= token_files.LONG

@@ -41,6 +41,8 @@ CHECKSUMS = 0x80
 ENTRY = struct.Struct("<III")
 #: Chunks remembered per worker; beyond that half of them are dropped.
 CACHE = 800_000
+#: Characters of a chunk that is not remembered, so texts without spaces do not stay in a worker.
+LONG = 64
 #: Documents read back at once.
 READ_ROWS = 512
 #: Where a text may be cut before it is encoded: after a non-space, before one space and a non-space.
@@ -101,7 +103,11 @@ class Encoder:
             parts.append((first, rest, last))
         self._learn(list(missing), list(others))
         known, other = self.after_space.__getitem__, self.other
-        return [other[first] + b"".join(map(known, rest)) + other[last] for first, rest, last in parts]
+        coded = [other[first] + b"".join(map(known, rest)) + other[last] for first, rest, last in parts]
+        for kept, found in ((self.after_space, missing), (other, others)):
+            for chunk in [c for c in found if len(c) > LONG]:
+                del kept[chunk]
+        return coded
 
     def _learn(self, chunks: list[str], others: list[str]) -> None:
         """Encodes new chunks, many at once where they cannot touch, taking the ids apart by their byte lengths."""
