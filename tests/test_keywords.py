@@ -61,3 +61,24 @@ def test_long_texts_stay_linear(spark):
     table = keywords.keyword_table(spark, {"n": ["needle", "abc abc abc d"], "a": ["bc ab"]})
     assert keywords.tag_anywhere(df, table).first().topics == ["n", "a"]
     assert keywords.tag_words(df, table).first().topics == ["n"]
+
+
+@pytest.mark.parametrize("leading", [0, 5, 100_000])
+def test_several_lists_in_one_pass(spark, leading):
+    """Whether words and keywords are broadcast or joined, each list gives what the in-row form gives."""
+    rng = random.Random(3)
+    forms = lambda: " ".join(word(rng, 3) for _ in range(rng.choice([1, 1, 2, 2, 3, 4])))
+    lists = {name: {f"{name}{i}": [forms() for _ in range(12)] for i in range(9)} for name in ("p", "q")}
+    df = texts(spark, rng, 60).union(spark.createDataFrame([(7, "ab  cd a"), (8, " ab cd "), (9, "é ab cdé")], "i long, cleaned string"))
+    expected = df.select("*", *[tags.tag(F.col("cleaned"), topics).alias(name) for name, topics in lists.items()])
+    tables = {name: keywords.keyword_table(spark, topics) for name, topics in lists.items()}
+    found = keywords.tag_lists(df, tables, leading=leading)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_the_different_words_are_searched_not_the_texts(spark, monkeypatch):
+    searched, inside = [], keywords._inside
+    monkeypatch.setattr(keywords, "_inside", lambda words, table: searched.append(words.count()) or inside(words, table))
+    df = spark.range(500).select("id", F.lit("battery of the camera battery").alias("cleaned"))
+    found = keywords.tag_anywhere(df, keywords.keyword_table(spark, {"b": ["atter"], "c": ["y of"]}))
+    assert searched == [4] and {tuple(r.topics) for r in found.collect()} == {("b", "c")}
