@@ -102,3 +102,13 @@ def test_settings_take_tables(spark):
         assert sorted(found.columns) == sorted(expected.columns)
         assert sorted(map(repr, found.select(expected.columns).collect())) == sorted(map(repr, expected.collect()))
     assert df.select(text.words(F.col("t"), ()).alias("w")).count() == len(TEXTS)
+
+
+def test_few_stop_words_are_looked_up_in_the_row(spark):
+    """A short table neither writes nor shuffles the texts, and removes what the join removes."""
+    df = spark.createDataFrame([(1, ["a", "the", "b", "the"]), (2, ["the"]), (3, []), (4, None)], "i long, words array<string>")
+    table = spark.createDataFrame([("the",), ("the",), (None,), ("x",)], "word string")
+    short, joined = stages.without_words(df, table), stages.without_words(df, table, inline_limit=0)
+    assert sorted(map(repr, short.collect())) == sorted(map(repr, joined.collect()))
+    assert {r.i: r.words for r in short.collect()} == {1: ["a", "b"], 2: [], 3: [], 4: None}
+    assert "Exchange" not in short._jdf.queryExecution().executedPlan().toString()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vocalis import lexicons
 from vocalis.functions import tags, text
+from vocalis.functions.lookup import INLINE_LIMIT, inline_lookup
 from vocalis.session import workspace
 
 
@@ -61,13 +62,18 @@ def clean_rows(
     return rows if keep_words else rows.drop("words")
 
 
-def without_words(df: DataFrame, stopwords: DataFrame, column: str = "words") -> DataFrame:
+def without_words(df: DataFrame, stopwords: DataFrame, column: str = "words", inline_limit: int = INLINE_LIMIT) -> DataFrame:
     """``df`` without the words of a table (word) of any size in its array ``column``; the others keep their order.
 
-    Each place of each distinct text meets the table by an anti-join, and the places that are left are put in
+    A table of at most ``inline_limit`` words is carried in the plan: texts are neither written nor shuffled. Beyond that,
+    each place of each distinct text meets the table by an anti-join, and the places that are left are put in
     order again within their text. Texts are told by a digest, so copies are one before they are taken apart. Rows are
-    written to the shared folder first; a stream takes a table in its micro-batches.
+    written to the shared folder first; a stream takes such a table in its micro-batches.
     """
+    listed = stopwords.where("word is not null").select("word", F.lit(1).alias("listed"))
+    find = inline_lookup(listed, "word", inline_limit)
+    if find is not None:
+        return computed_once(df, **{column: F.filter(column, lambda w: find(w).isNull())}).select(*df.columns)
     spark, path = df.sparkSession, workspace(df.sparkSession)
     computed_once(df, _digest=F.unhex(F.md5(F.to_json(F.struct(column)).cast("binary")))).write.parquet(path)
     rows = spark.read.parquet(path)
