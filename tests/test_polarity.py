@@ -110,3 +110,19 @@ def test_a_distribution_looks_for_no_topics(spark, sf_dir):
 
     plan = QUERIES["sentiment_distribution"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "topics" not in plan and "tion" in plan
+
+
+def test_only_rare_words_travel(spark):
+    """Whatever the number of words looked up in the row, each place gets its word's role."""
+    words = ["good bad so so very good", "so very", "", "x", "good", "rare so odd good rare"]
+    df = spark.createDataFrame([(i, w.split()) for i, w in enumerate(words)] + [(9, None)], "i long, words array<string>")
+    rules = PolarityRules(boosters={"very": 0.3}, negators=("odd",))
+    listed = spark.createDataFrame([("good", 1.5), ("bad", -2.0), ("rare", 0.7)], "token string, valence double")
+    roles = polarity.one_role(polarity.roles(listed, rules))
+    known = {r.token: (r.valence, r.boost, r.factor) for r in roles.collect()}
+    for leading in (0, 1, 3, 100):
+        for r in scoring._with_joined_roles(df, "words", roles, leading).collect():
+            tokens = None if r.words is None else [w for w in r.words if len(w) > 1]
+            assert r._tokens == tokens
+            found = None if r._roles is None else [(x and (x.valence, x.boost, x.factor)) or (None,) * 3 for x in r._roles]
+            assert found == (None if tokens is None else [known.get(t, (None,) * 3) for t in tokens]), (leading, r)

@@ -205,8 +205,8 @@ def sentiment_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentiment_own_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _clean_documents(spark, sf_dir, keep_words=True)
-    scored = scoring.score(docs, binding.own_valences(docs), rules=binding.RULES)
+    docs = _written(_clean_documents(spark, sf_dir, keep_words=True).drop("cleaned"))
+    scored = scoring.score(docs, _written(binding.own_valences(docs)), rules=binding.RULES)
     return scored.select("doc_id", "compound", polarity.label(F.col("compound")).alias("sentiment"))
 
 
