@@ -114,3 +114,27 @@ def test_other_attempts_are_not_read(spark, tmp_path):
         sinks.write_store(rows(spark, [text]), path, "w1", "replace")
     files = tables.read_store(spark, path).select("text").inputFiles()
     assert len(files) >= 1 and all(commits.read(spark, path)[0][1] in f for f in files)
+
+
+def _files(path):
+    import glob
+
+    return glob.glob(f"{path}/attempt=*/source=*/batch=*/*.parquet")
+
+
+def test_a_batch_is_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """Each task writes what it has: texts do not travel, and no task gets all of a source."""
+    path = str(tmp_path / "store")
+    text, none = F.concat(F.lit("t"), "id"), F.array().cast("array<string>")
+    rows = spark.range(60).repartition(3).select(
+        text.alias("text"), text.alias("cleaned"), none.alias("phone_models"), none.alias("topics"), F.lit("Neutral").alias("sentiment"),
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"),
+    )
+    sinks.write_store(rows, path, "w1")
+    assert len(_files(path)) == 6
+    monkeypatch.setattr(sinks, "MOST_FILES", 2)
+    sinks.write_store(rows.repartition(12), path, "w1", "replace")  # many small files are dealt anew
+    assert len(_files(path)) < 6 + 12
+    stored = tables.read_store(spark, path)
+    assert sorted(r.text for r in stored.collect()) == sorted(f"t{i}" for i in range(60))
+    assert stored.where("source = 'a'").count() == 30

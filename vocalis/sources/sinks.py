@@ -10,14 +10,20 @@ from vocalis.sources import commits, tables
 from vocalis.sources.tables import ATTEMPT
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+#: Of the store: texts take about two thirds of what Spark's default takes.
+COMPRESSION = "zstd"
+#: An attempt with more files than this for each source, and smaller ones on average than this, is dealt anew by source.
+MOST_FILES, SMALL_BYTES = 32, 1 << 20
+
+
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
     """Overwrite a CSV export (header, quotes doubled inside quoted text)."""
-    df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"', compression=compression)
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
+def write_jsonl(df: DataFrame, path: str, compression: str = "none") -> None:
     """Overwrite a JSON Lines export; the only text form that keeps array columns."""
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path, compression=compression)
 
 
 def write_store(df: DataFrame, path: str, batch: str, mode: str = "append") -> None:
@@ -26,8 +32,8 @@ def write_store(df: DataFrame, path: str, batch: str, mode: str = "append") -> N
     ``mode='append'`` adds rows, also when the batch was written before. ``mode='replace'`` puts the
     rows in the place of all that the batch had, of any source. Either way the rows are written apart and
     become visible at once, when they are all there: a run that is lost half way leaves the store as it was and
-    can be repeated. Rows are dealt to tasks by source, in parts of even size, so that neither a
-    task writes a file for every source nor one task holds all of a source.
+    can be repeated. Each task writes the rows it has, a file for each of their sources, so no text is shuffled and no task
+    holds all of a source. Only if that made many small files are rows dealt to tasks by source, in parts of even size.
     """
     if mode not in ("append", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -43,9 +49,31 @@ def write_store(df: DataFrame, path: str, batch: str, mode: str = "append") -> N
 def _write_attempt(df: DataFrame, path: str, batch: str) -> str:
     attempt = commits.new_attempt()
     rows = df.withColumn("batch", F.lit(batch)).select(*schemas.STORE.fieldNames())
+    _write_rows(rows, path, attempt)
+    if not _many_small(df.sparkSession, f"{path}/{ATTEMPT}={attempt}"):
+        return attempt
+    dealt = commits.new_attempt()  # the first one is named nowhere, and goes
+    _write_rows(tables.read_attempts(df.sparkSession, path, [(batch, attempt)]).hint("rebalance", "source"), path, dealt)
+    _remove(df.sparkSession, f"{path}/{ATTEMPT}={attempt}")
+    return dealt
+
+
+def _write_rows(rows: DataFrame, path: str, attempt: str) -> None:
     # a folder of its own, so that writers at the same time do not clear each other's unfinished files
-    rows.hint("rebalance", "source").write.partitionBy("source", "batch").parquet(f"{path}/{ATTEMPT}={attempt}")
-    return attempt
+    rows.write.partitionBy("source", "batch").option("compression", COMPRESSION).parquet(f"{path}/{ATTEMPT}={attempt}")
+
+
+def _many_small(spark: SparkSession, folder: str) -> bool:
+    """Whether an attempt has many small files for its sources."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, sources = store.getContentSummary(path), len(store.listStatus(path))
+    return found.getFileCount() > MOST_FILES * sources and found.getLength() < SMALL_BYTES * found.getFileCount()
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def remove_batch(spark: SparkSession, path: str, batch: str) -> None:
