@@ -296,3 +296,17 @@ def test_null_text_has_no_words(spark):
     df = spark.createDataFrame([(None,)], "t string")
     assert df.select(text.words(F.col("t")).alias("w")).first()["w"] is None
     assert stages.computed_once(df, n=F.lit(1), m=F.lit(2)).count() == 1
+
+
+def test_compressed_exports_read_the_same(spark, tmp_path):
+    headlines = spark.createDataFrame([("The iPhone, battery",), ('a "quoted"\nSamsung',)], "headline string")
+    comments = spark.createDataFrame([("1", "t", "camera, good")], schemas.RAW_COMMENTS)
+    found = []
+    for kind in ("none", "gzip"):
+        out = str(tmp_path / kind)
+        opinions.export_stages(headlines, comments, lexicons.valence_table(spark), out, compression=kind)
+        raw = tables.read_csv(spark, f"{out}/headlines/raw", headlines.schema).collect()
+        tagged = [tables.read_jsonl(spark, f"{out}/{n}/tagged", schemas.TAGGED).collect() for n in ("headlines", "comments")]
+        found.append(sorted(map(repr, [*raw, *tagged[0], *tagged[1]])))
+    assert found[0] == found[1] and len(found[0]) >= 3
+    assert list((tmp_path / "gzip/headlines/raw").glob("*.csv.gz"))

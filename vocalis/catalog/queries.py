@@ -264,7 +264,7 @@ def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _written(rows: DataFrame) -> DataFrame:
     """``rows`` once written and read back, for queries that use them several times."""
     path = workspace(rows.sparkSession)
-    rows.write.parquet(path)
+    rows.write.option("compression", sinks.COMPRESSION).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
@@ -401,7 +401,7 @@ def conversation_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 def exported_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, out = _landed(spark, sf_dir), workspace(spark)
     headlines, comments = opinions.read_batch(spark, folder, binding.ANCHOR, binding.CHAIN)
-    opinions.export_stages(headlines, comments, binding.valences(spark), out, binding.CHAIN)
+    opinions.export_stages(headlines, comments, binding.valences(spark), out, binding.CHAIN, compression="gzip")
     tagged = [
         tables.read_jsonl(spark, f"{out}/{name}/tagged", schemas.TAGGED).withColumn("source", F.lit(name))
         for name in (opinions.HEADLINES, opinions.COMMENTS)
