@@ -85,25 +85,31 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _cut(self, texts: list[str]) -> list[bytes]:
-        parts, missing, others = [], {}, {}
+        parts: list[tuple[str, list[str], str, list[bytes | None], bool]] = []
+        missing, others = {}, {}
         get = self.after_space.get
         for text in texts:
             first, *rest = text.split(" ")
             last = ""
             got = list(map(get, rest))
-            new = [c for c, g in zip(rest, got) if g is None] if None in got else []
+            new = [] if all(got) else [c for c, g in zip(rest, got) if g is None]  # no chunk is without ids
             if rest and not (first and first[-1].strip() and all(c and c[0].strip() and c[-1].strip() for c in new)):
                 first, *rest = CUT.split(text)
                 if rest and not rest[-1][-1].strip():
                     last = rest.pop()
                 rest = [c[1:] for c in rest]
-                new = [c for c in rest if c not in self.after_space]
+                got = list(map(get, rest))
+                new = [c for c, g in zip(rest, got) if g is None]
             missing.update(dict.fromkeys(new))
             others.update(dict.fromkeys(c for c in (first, last) if c not in self.other))
-            parts.append((first, rest, last))
+            parts.append((first, rest, last, got, bool(new)))
         self._learn(list(missing), list(others))
-        known, other = self.after_space.__getitem__, self.other
-        coded = [other[first] + b"".join(map(known, rest)) + other[last] for first, rest, last in parts]
+        known, other = self.after_space, self.other
+        coded = []
+        for first, rest, last, got, some in parts:
+            if some:  # what was found is not looked up again
+                got = [known[c] if g is None else g for c, g in zip(rest, got)]
+            coded.append(other[first] + b"".join(got) + other[last])
         for kept, found in ((self.after_space, missing), (other, others)):
             for chunk in [c for c in found if len(c) > LONG]:
                 del kept[chunk]
